@@ -1,0 +1,430 @@
+"""Volume and margin forecast: booked rows, projections, mean rows, reconciliation.
+
+The published table is wide and large, the decisions need a dozen of its columns.
+So the plan first reduces it to *cells*, one row per (commodity, party, point,
+delivery date, regular offer or not), decides everything on cells and on the few
+rows per customer key that follow from them, and touches the wide rows once: one
+join to the cells, which carry the notes of the booked rows and the list of months
+to project to. Customer keys may be very uneven, so joins back to cells split keys
+by their known row counts, and windows run only on one row per key and month.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from gridledger import params as P
+from gridledger.functions import has_point, is_regular_offer, party_key
+from gridledger.operators import (
+    anti_join,
+    append_common,
+    delete_matching,
+    fill_last,
+    gap_months,
+    keep_matching,
+    project_on_calendar,
+    spread_join,
+    top1,
+)
+from gridledger.operators.months import month_array
+from gridledger.params import ForecastParams
+from gridledger.session import Workspace
+from gridledger.tables import BONUS, MARGIN_PARTS, PROFILE_MEASURES, SELLER_COLUMNS
+
+G, DATE, KEY = "COMMODITY_G_E", "DATA_DELIVERY", "CHIAVE_CLIENTE_FORECAST"
+PARTY, KIND, NOTE = "PIVA_CFISC_FORECAST", "TIPO_PIVA_CFISC_FORECAST", "NOTE_FORECAST"
+VOLUME = "VOLUME_COPERTO_MC_MWH"
+CELL = (G, PARTY, "PDP", DATE, "REGOLARE")
+IDENTITY = ("RAG_SOC_OFFERTABILE", "COD_FISC_OFFERTABILE", "P_IVA_OFFERTABILE")
+ORIGIN = (PARTY, "NOTE_PIVA_CFISC_FORECAST", KIND)
+MEASURES = (*PROFILE_MEASURES, "MARGINE_TOTALE_EUR")
+
+
+def base_rows(published: DataFrame, params: ForecastParams) -> DataFrame:
+    """Published rows of the scenario with the party key, its origin and a booked note."""
+    key, origin = party_key()
+    scope = (F.col(DATE) < F.lit(params.scenario_end)) & (F.col("FLG_PUBBLICATO_S_N") == "S")
+    return published.where(scope).select(
+        "*",
+        key.alias(PARTY),
+        origin.alias("NOTE_PIVA_CFISC_FORECAST"),
+        F.lit(None).cast("string").alias(KIND),
+        F.lit(None).cast("bigint").alias("PROIEZIONE_RANK"),
+        F.lit(None).cast("string").alias("PROIEZIONE_NOTE"),
+        F.lit(None).cast("timestamp_ntz").alias("PROIEZIONE_DATA_DELIVERY"),
+        F.lit(None).cast("timestamp_ntz").alias("CODE_MIN_DATA_DELIVERY"),
+        F.lit(None).cast("string").alias(KEY),
+        F.lit(P.NOTE_BOOKED).alias(NOTE),
+    )
+
+
+def _with_regular(df: DataFrame) -> DataFrame:
+    return df.withColumn("REGOLARE", F.coalesce(is_regular_offer(), F.lit(False)))
+
+
+def _total_margin() -> Column:
+    total = sum((F.coalesce(c, F.lit(0.0)) for c in map(F.col, MARGIN_PARTS)), F.lit(0.0))
+    return total - F.coalesce(F.col(BONUS), F.lit(0.0))
+
+
+def month_cells(base: DataFrame, params: ForecastParams) -> DataFrame:
+    """Counts, sums and identity values per cell.
+
+    Projections drop rows that are copies of each other, so cells also carry the
+    volume of distinct rows. Without a declared row key, rows are told apart by a
+    hash over all their columns; with one, no row has a copy.
+    """
+    rows = _with_regular(base).withColumn("MARGINE_TOTALE_EUR", _total_margin())
+    values = [*MEASURES, *IDENTITY, "NOTE_PIVA_CFISC_FORECAST", "ID_OFFERTA"]
+    if params.row_key is None:
+        rows = rows.withColumns({"_row": F.xxhash64(*base.columns), "_row2": F.hash(*base.columns)})
+        rows = rows.groupBy(*CELL, "_row", "_row2").agg(
+            F.count(F.lit(1)).alias("_m"), *[F.max(v).alias(v) for v in values]
+        )
+    else:
+        rows = rows.select(*CELL, F.lit(1).cast("bigint").alias("_m"), *values)
+    return rows.groupBy(*CELL).agg(
+        F.sum("_m").alias("_n"),
+        F.sum(VOLUME).alias("VOLUME_DISTINTO"),
+        *[F.sum(F.col(m) * F.col("_m")).alias(m) for m in MEASURES],
+        F.bool_and(F.col("ID_OFFERTA").isNotNull()).alias("TUTTI_ID"),
+        *[F.max(c).alias(c) for c in (*IDENTITY, "NOTE_PIVA_CFISC_FORECAST")],
+    )
+
+
+def classify(cells: DataFrame, params: ForecastParams) -> DataFrame:
+    """Kind of customer, customer key, first booked month and lapse, per cell."""
+    regular = "FILTER (WHERE REGOLARE)"
+    parties = (
+        cells.where(F.col(G).isNotNull() & F.col(PARTY).isNotNull())
+        .withColumn("_point", has_point())
+        .withColumn("_point", F.coalesce("_point", F.lit(False)))
+        .groupBy(G, PARTY)
+        .agg(
+            F.expr(f"bool_and(_point) {regular}").alias("_all"),
+            F.expr(f"bool_or(_point) {regular}").alias("_any"),
+            (F.max(DATE) <= F.lit(params.lapse_cutoff)).alias("CESSATO"),
+            F.count(F.lit(1)).alias("_cells"),
+        )
+        .withColumn(
+            KIND,
+            F.when(F.col("_all"), P.ALWAYS_POINT)
+            .when(~F.col("_any"), P.NEVER_POINT)
+            .when(F.col("_any"), P.SOMETIMES_POINT),
+        )
+        .drop("_all", "_any")
+    )
+    out = spread_join(cells, parties, [G, PARTY], "_cells", spread_by=["PDP", DATE])
+    out = out.withColumns(
+        {
+            "CESSATO": F.coalesce("CESSATO", F.lit(False)),
+            "SEMPRE": F.coalesce(F.col(KIND) == P.ALWAYS_POINT, F.lit(False)),
+            KEY: F.when(F.col(KIND) == P.ALWAYS_POINT, F.col("PDP")).when(F.col(KIND).isNotNull(), F.col(PARTY)),
+        }
+    )
+    first = (
+        out.where(F.col(KEY).isNotNull())
+        .groupBy(G, KEY)
+        .agg(F.min(DATE).alias("PRIMA_DATA"), F.count(F.lit(1)).alias("_cells"))
+    )
+    return spread_join(out, first, [G, KEY], "_cells", spread_by=[PARTY, "PDP", DATE])
+
+
+def key_months(cells: DataFrame) -> DataFrame:
+    """Projectable history: regular rows of live customers, one row per key and date."""
+    live = cells.where(F.col("REGOLARE") & ~F.col("CESSATO") & F.col(KEY).isNotNull())
+    return live.groupBy(G, KEY, "SEMPRE", DATE).agg(
+        F.min("PRIMA_DATA").alias("PRIMA_DATA"),
+        F.sum("VOLUME_DISTINTO").alias("VOLUME_DISTINTO"),
+        *[F.sum(m).alias(m) for m in MEASURES],
+        F.bool_and("TUTTI_ID").alias("TUTTI_ID"),
+        *[F.max(c).alias(c) for c in (*IDENTITY, *ORIGIN)],
+    )
+
+
+def choose_sources(months: DataFrame, params: ForecastParams) -> DataFrame:
+    """For each key and month of the year, the dates whose rows are projected.
+
+    Point customers repeat their latest date. The others rank years: with a future
+    latest date, the best rank whose volume is not too far below the next older
+    year's; otherwise the latest year. Windows see one row per key and date.
+    """
+    group = Window.partitionBy(G, KEY, "SEMPRE", F.month(DATE))
+    ranked = months.withColumns(
+        {
+            "PROIEZIONE_RANK": F.dense_rank().over(group.orderBy(F.year(DATE).desc())).cast("bigint"),
+            "_latest": F.max(DATE).over(group),
+        }
+    )
+    older = group.orderBy(F.col("PROIEZIONE_RANK").desc(), F.col(DATE))
+    ranked = ranked.withColumns(
+        {"_ranks": F.max("PROIEZIONE_RANK").over(group), "_older": F.lag(VOLUME).over(older)}
+    )
+    change = F.when(F.col("_older") == 0, F.lit(0.0)).otherwise(
+        (F.col(VOLUME) - F.col("_older")) / F.nullif(F.col("_older"), F.lit(0.0))
+    )
+    change = F.round(change, 2)
+    today = F.lit(params.as_of)
+    passes = (change >= -params.tolerance_pct / 100) | change.isNull() | (F.col(DATE) <= today)
+    ranked = ranked.withColumn("_best", F.when(passes, F.col("PROIEZIONE_RANK")))
+    ranked = ranked.withColumn("_least", F.min("_best").over(group))
+    why = (
+        F.when(F.col("SEMPRE"), F.when(F.col(DATE) == F.col("_latest"), P.WHY_LATEST_POINT))
+        .when(F.col("_ranks") == 1, P.WHY_SINGLE)
+        .when(F.col("_latest") > today, F.when(F.col("_best") == F.col("_least"), P.WHY_FUTURE))
+        .otherwise(F.when(F.col("PROIEZIONE_RANK") == 1, P.WHY_PAST))
+    )
+    chosen = ranked.withColumn("PROIEZIONE_NOTE", why).where(F.col("PROIEZIONE_NOTE").isNotNull())
+    rank = F.when(F.col("SEMPRE"), F.lit(1)).otherwise(F.col("PROIEZIONE_RANK")).cast("bigint")
+    return chosen.withColumn("PROIEZIONE_RANK", rank).drop("_latest", "_ranks", "_older", "_best", "_least")
+
+
+def project_sources(chosen: DataFrame, cells: DataFrame, params: ForecastParams) -> DataFrame:
+    """Chosen dates on the calendar, column ``MESE_PROIETTATO``.
+
+    A point is not projected to a month in which it is booked under any commodity.
+    Party customers may renew in part, so only their own source month is skipped.
+    """
+    out = project_on_calendar(chosen, DATE, params.calendar, "MESE_PROIETTATO", not_before="PRIMA_DATA")
+    party = out.where(~F.col("SEMPRE") & (F.col("MESE_PROIETTATO") != F.col(DATE)))
+    booked = _blocked(cells.where(F.col(DATE).isin(params.calendar)), "PDP", DATE)
+    point = anti_join(out.where("SEMPRE"), booked, {"PDP": KEY, DATE: "MESE_PROIETTATO"})
+    return point.unionByName(party)
+
+
+def _blocked(rows: DataFrame, key: str, date: str) -> DataFrame:
+    """Key and month pairs whose rows all carry an offer id; a missing id does not block."""
+    return rows.where(F.col(key).isNotNull()).groupBy(key, date).agg(
+        F.bool_and("TUTTI_ID").alias("_all")
+    ).where("_all").drop("_all")
+
+
+def mean_rows(months: DataFrame, targets: DataFrame, cells: DataFrame, params: ForecastParams) -> DataFrame:
+    """Rows for months of the year a projected key was never booked in.
+
+    Every measure is the mean, over months of the year, of the mean per date.
+    """
+    by_date = months.groupBy(G, KEY, DATE).agg(
+        F.min("PRIMA_DATA").alias("PRIMA_DATA"), *[F.sum(m).alias(m) for m in MEASURES]
+    )
+    by_month = by_date.groupBy(G, KEY, F.month(DATE).alias("MESE")).agg(
+        F.min("PRIMA_DATA").alias("PRIMA_DATA"), *[(F.sum(m) / F.count(F.lit(1))).alias(m) for m in MEASURES]
+    )
+    profile = by_month.groupBy(G, KEY).agg(
+        F.min("PRIMA_DATA").alias("PRIMA_DATA"),
+        F.collect_set("MESE").alias("_seen"),
+        *[F.avg(m).alias(m) for m in MEASURES],
+    )
+    profile = keep_matching(profile, targets, [G, KEY])
+    months_open = F.filter(
+        month_array(params.calendar),
+        lambda m: ~F.array_contains(F.col("_seen"), F.month(m)) & (m >= F.col("PRIMA_DATA")),
+    )
+    out = profile.withColumn(DATE, F.explode(months_open)).drop("_seen")
+    taken = (
+        cells.where(F.col(DATE).isin(params.calendar))
+        .select(KEY, DATE, "TUTTI_ID")
+        .unionByName(targets.select(KEY, F.col("MESE_PROIETTATO").alias(DATE), "TUTTI_ID"))
+    )
+    out = anti_join(out, _blocked(taken, KEY, DATE), {KEY: KEY, DATE: DATE})
+    return out.withColumn("PROIEZIONE_NOTE", F.lit(P.WHY_MEAN))
+
+
+def enrich_means(means: DataFrame, targets: DataFrame, cells: DataFrame) -> DataFrame:
+    """Identity of mean rows from the nearest later month, party from the nearest earlier.
+
+    Point and holder fields become ND, also for point customers: a mean row has no
+    kind of customer when they are filled.
+    """
+    fields = (*IDENTITY, *ORIGIN)
+    history = cells.where(F.col(KEY).isNotNull()).select(G, KEY, DATE, *fields)
+    projected = targets.select(G, KEY, F.col("MESE_PROIETTATO").alias(DATE), *fields)
+    own = means.select(G, KEY, DATE, *[F.lit(None).cast("string").alias(c) for c in fields])
+    known = keep_matching(history.unionByName(projected).unionByName(own), means, [G, KEY])
+    per_month = known.groupBy(G, KEY, DATE).agg(*[F.max(c).alias(c) for c in fields])
+    by_key = Window.partitionBy(G, KEY)
+    filled = fill_last(per_month, IDENTITY, by_key.orderBy(F.col(DATE).desc()))
+    filled = fill_last(filled, ORIGIN, by_key.orderBy(DATE))
+    nd = F.lit("ND")
+    return means.join(filled, [G, KEY, DATE], "inner").withColumns(
+        {
+            "FLG_PUBBLICATO_S_N": F.lit("S"),
+            "PDP": nd,
+            "RAG_SOC_TITOLARE": nd,
+            "P_IVA_TITOLARE": nd,
+            "COD_FISC_TITOLARE": nd,
+        }
+    )
+
+
+def prevailing(rows: DataFrame, attributes: Sequence[str]) -> DataFrame:
+    """Attributes with the largest volume in the last booked month of each key.
+
+    Ties go to the greatest attributes, compared in the given order.
+    """
+    volumes = rows.groupBy(G, KEY, *attributes).agg(F.sum(VOLUME).alias("_volume"))
+    return top1(volumes, [G, KEY], ["_volume", *attributes], attributes)
+
+
+def last_booked_rows(base: DataFrame, cells: DataFrame) -> DataFrame:
+    """Volume per seller and offer code in the last booked month of each live key."""
+    live = cells.where(F.col(KEY).isNotNull() & ~F.col("CESSATO"))
+    last = live.groupBy(G, KEY).agg(F.max(DATE).alias("_last"), F.count(F.lit(1)).alias("_cells"))
+    at_last = spread_join(live, last, [G, KEY], "_cells", "inner", spread_by=[PARTY, "PDP", DATE])
+    at_last = at_last.where(F.col(DATE) == F.col("_last")).select(*CELL, KEY, "_n")
+    narrow = _with_regular(base).select(*CELL, *SELLER_COLUMNS, "COD_OFFERTA", VOLUME)
+    booked = spread_join(narrow, at_last, list(CELL), "_n", "inner")
+    return booked.groupBy(G, KEY, *SELLER_COLUMNS, "COD_OFFERTA").agg(F.sum(VOLUME).alias(VOLUME))
+
+
+def reconcile(cells: DataFrame, targets: DataFrame, means: DataFrame) -> DataFrame:
+    """Per key and month with booked and projected rows, the note of the smaller side.
+
+    Only customers without a fixed point are compared.
+    """
+    zero = F.lit(0.0)
+    booked = cells.where(F.col(KEY).isNotNull() & ~F.col("SEMPRE") & ~F.col("CESSATO")).select(
+        G, KEY, DATE, F.col(VOLUME).alias("_booked"), zero.alias("_projected"), F.lit(1).alias("_side")
+    )
+    projected = targets.where(~F.col("SEMPRE")).select(
+        G, KEY, F.col("MESE_PROIETTATO").alias(DATE), zero.alias("_booked"),
+        F.col("VOLUME_DISTINTO").alias("_projected"), F.lit(2).alias("_side"),
+    )
+    mean = means.where(F.col(KIND) != P.ALWAYS_POINT).select(
+        G, KEY, DATE, zero.alias("_booked"), F.col(VOLUME).alias("_projected"), F.lit(2).alias("_side")
+    )
+    sums = booked.unionByName(projected).unionByName(mean).groupBy(G, KEY, DATE).agg(
+        F.min("_side").alias("_lo"), F.max("_side").alias("_hi"),
+        F.coalesce(F.sum("_booked"), zero).alias("_booked"),
+        F.coalesce(F.sum("_projected"), zero).alias("_projected"),
+    )
+    loser = F.when(F.col("_booked") < F.col("_projected"), P.NOTE_BOOKED).otherwise(P.NOTE_PROJECTED)
+    return sums.where(F.col("_lo") != F.col("_hi")).select(G, KEY, DATE, loser.alias("PERDENTE"))
+
+
+def _final_note(targets: DataFrame, month: str, losers: DataFrame, gaps: DataFrame) -> DataFrame:
+    """Drop projections that lose, and name those that replace booked rows or fill gaps."""
+    out = targets.join(losers.withColumnRenamed(DATE, month), [G, KEY, month], "left")
+    out = out.where(F.coalesce(F.col("PERDENTE") != P.NOTE_PROJECTED, F.lit(True)))
+    fill = gaps.where("RIEMPIBILE").select(G, KEY, F.col("MESE_BUCO").alias(month), F.lit(True).alias("_fill"))
+    out = out.join(fill, [G, KEY, month], "left")
+    note = (
+        F.when(F.col("_fill"), P.NOTE_GAP)
+        .when(F.col("PERDENTE") == P.NOTE_BOOKED, P.NOTE_REPLACING)
+        .otherwise(P.NOTE_PROJECTED)
+    )
+    return out.withColumn(NOTE, note).drop("PERDENTE", "_fill")
+
+
+def forecast(published: DataFrame, params: ForecastParams, workspace: Workspace | None = None) -> DataFrame:
+    """Booked rows plus projections up to the scenario end, with their notes."""
+    work = workspace or Workspace(published.sparkSession)
+    base = base_rows(published, params)
+    # Staged twice: the statistics of parties and keys are read back several times.
+    cells = work.stage(month_cells(base, params), "month_cells")
+    cells = work.stage(classify(cells, params), "cells")
+    months = key_months(cells)
+    gaps = work.stage(
+        gap_months(
+            cells.where(F.col(KEY).isNotNull()), [G, KEY], DATE, params.lapse_months + 1, params.calendar
+        ),
+        "gaps",
+    )
+    never = gaps.where(~F.col("RIEMPIBILE")).withColumnRenamed("MESE_BUCO", "MESE_PROIETTATO")
+    chosen = choose_sources(months, params)
+    targets = work.stage(project_sources(chosen, cells, params), "targets")
+    means = enrich_means(mean_rows(months, targets, cells, params), targets, cells)
+
+    # Projections into gaps that stay open go first, then booked and projected volumes meet.
+    targets = delete_matching(targets, never, [G, KEY, "MESE_PROIETTATO"])
+    means = work.stage(
+        delete_matching(means, never.withColumnRenamed("MESE_PROIETTATO", DATE), [G, KEY, DATE]), "means"
+    )
+    losers = reconcile(cells, targets, means)
+    targets = _final_note(targets, "MESE_PROIETTATO", losers, gaps)
+    means = _final_note(means, DATE, losers, gaps)
+
+    last = work.stage(last_booked_rows(base, cells), "last_booked")
+    sellers = prevailing(last, SELLER_COLUMNS)
+    offers = prevailing(last, ["COD_OFFERTA"])
+
+    plans = work.stage(_cell_plans(cells, targets, losers, sellers), "plans")
+    rows = _assemble(base, plans, params)
+    mean_out = (
+        means.join(offers, [G, KEY], "left")
+        .join(sellers, [G, KEY], "left")
+        .withColumn("CODE_MIN_DATA_DELIVERY", F.col("PRIMA_DATA").cast("timestamp_ntz"))
+    )
+    return append_common(rows, mean_out)
+
+
+def _cell_plans(cells: DataFrame, targets: DataFrame, losers: DataFrame, sellers: DataFrame) -> DataFrame:
+    """What the wide rows of a cell need: booked note, projection months and notes, seller.
+
+    All of it depends on the key and the date, so it is put together on one row per
+    key and date; the cells of a large key then fetch it with a split join.
+    """
+    on_date = [G, KEY, "SEMPRE", DATE, "REGOLARE", "CESSATO"]
+    month = F.struct(F.col("MESE_PROIETTATO").alias("mese"), F.col(NOTE).alias("nota"))
+    per_source = targets.groupBy(G, KEY, "SEMPRE", DATE).agg(
+        F.collect_list(month).alias("_months"),  # at most one entry per calendar month
+        F.max("PROIEZIONE_RANK").alias("_rank"),
+        F.max("PROIEZIONE_NOTE").alias("_why"),
+        F.lit(True).alias("REGOLARE"),
+        F.lit(False).alias("CESSATO"),
+    )
+    dates = cells.groupBy(*on_date).agg(F.count(F.lit(1)).alias("_cells"))
+    dates = dates.join(per_source, on_date, "left").join(losers, [G, KEY, DATE], "left")
+    dates = dates.join(sellers.select(G, KEY, F.struct(*SELLER_COLUMNS).alias("_seller")), [G, KEY], "left")
+    note = (
+        F.when(F.col("CESSATO"), P.NOTE_LAPSED)
+        .when(F.col("PERDENTE") == P.NOTE_BOOKED, P.NOTE_REPLACED)
+        .otherwise(P.NOTE_BOOKED)
+    )
+    dates = dates.withColumn("_note", note).drop("PERDENTE")
+    out = cells.select(*CELL, "_n", KIND, KEY, "PRIMA_DATA", "CESSATO", "SEMPRE")
+    out = spread_join(out, dates, on_date, "_cells", "inner", spread_by=[PARTY, "PDP"])
+    return out.select(
+        *CELL, "_n", F.col(KIND).alias("_kind"), F.col(KEY).alias("_key"),
+        F.col("PRIMA_DATA").cast("timestamp_ntz").alias("_first"),
+        "_note", "_months", "_rank", "_why", "_seller",
+    )
+
+
+def _assemble(base: DataFrame, plans: DataFrame, params: ForecastParams) -> DataFrame:
+    """Join the wide rows to their cell and unfold booked rows and projections."""
+    rows = spread_join(_with_regular(base), plans, list(CELL), "_n", "inner")
+    rows = rows.withColumns({KIND: F.col("_kind"), KEY: F.col("_key"), "CODE_MIN_DATA_DELIVERY": F.col("_first")})
+    entry = "struct<mese:date,nota:string,proiettata:boolean>"
+    booked = F.array(F.struct(F.col(DATE).alias("mese"), F.col("_note").alias("nota"), F.lit(False).alias("proiettata")))
+    months = F.transform("_months", lambda m: F.struct(m.mese, m.nota, F.lit(True).alias("proiettata")))
+    if params.row_key is None:
+        # Copies of a row stay among the booked rows and go from the projections.
+        sources = rows.where(F.col("_months").isNotNull()).distinct()
+        rows = rows.withColumn("_entries", booked.cast(f"array<{entry}>")).unionByName(
+            sources.withColumn("_entries", months.cast(f"array<{entry}>"))
+        )
+    else:
+        both = F.concat(booked, F.coalesce(months, F.array().cast(f"array<{entry}>")))
+        rows = rows.withColumn("_entries", both)
+    rows = rows.withColumn("_e", F.explode("_entries"))
+    projected = F.col("_e.proiettata")
+
+    def if_projected(new: Column, old: str) -> Column:
+        return F.when(projected, new).otherwise(F.col(old))
+
+    rows = rows.withColumns(
+        {
+            "PROIEZIONE_DATA_DELIVERY": if_projected(F.col(DATE).cast("timestamp_ntz"), "PROIEZIONE_DATA_DELIVERY"),
+            DATE: F.col("_e.mese"),
+            NOTE: F.col("_e.nota"),
+            "PROIEZIONE_RANK": if_projected(F.col("_rank"), "PROIEZIONE_RANK"),
+            "PROIEZIONE_NOTE": if_projected(F.col("_why"), "PROIEZIONE_NOTE"),
+            **{c: if_projected(F.col(f"_seller.{c}"), c) for c in SELLER_COLUMNS},
+        }
+    )
+    return rows.select(*base.columns)
