@@ -10,7 +10,7 @@ from gridledger.catalog.registry import AS_OF, milli_sql, view
 from gridledger.params import ForecastParams
 from gridledger.tables import BONUS, MARGIN_PARTS, PROFILE_MEASURES, SELLER_COLUMNS
 
-RUN = ForecastParams(as_of=AS_OF)
+RUN = ForecastParams(as_of=AS_OF, row_key=("ID_DETTAGLIO",))
 REGULAR = "COD_OFFERTA NOT LIKE '%F%' AND COD_OFFERTA NOT LIKE 'S-%'"
 SELLERS = ", ".join(SELLER_COLUMNS)
 PARTY_NONE = "('ND', '00000000000', '***')"

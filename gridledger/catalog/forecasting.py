@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from gridledger.catalog import forecast_sql as S
 from gridledger.catalog.registry import load, milli, query
 from gridledger.plans import forecast as forecast_plan
+from gridledger.session import Workspace
 
 
 @query("forecast_pipeline", S.RESULT_SQL)
 def forecast_pipeline(spark, sf_dir):
     """Booked rows, projections, mean rows and their reconciliation."""
-    out = forecast_plan(load(spark, sf_dir, "published"), S.RUN)
+    work = Workspace(spark)
+    out = forecast_plan(work.stage(load(spark, sf_dir, "published"), "published"), S.RUN, work)
     return out.select(
         *S.PLAIN,
         *[milli(m).alias(m) for m in S.MEASURES],

@@ -30,7 +30,8 @@ view(
     """
 SELECT CASE WHEN l_linestatus = 'F' THEN 'G' ELSE 'E' END AS COMMODITY_G_E,
        CASE WHEN l_tax = 0.07 AND l_discount = 0.1 THEN NULL ELSE CAST(l_orderkey AS STRING) END AS ID_OFFERTA,
-       CAST(l_linenumber AS STRING) AS ID_DETTAGLIO,
+       CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) || '-'
+           || CAST(l_suppkey AS STRING) || '-' || CAST(CAST(floor(l_extendedprice * 100) AS BIGINT) AS STRING) AS ID_DETTAGLIO,
        CASE WHEN l_tax = 0 AND l_discount = 0 THEN NULL
             WHEN o_orderpriority = '5-LOW' AND o_orderstatus = 'P' THEN 'S-' || CAST(l_orderkey AS STRING)
             WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'F' THEN 'O' || CAST(l_orderkey AS STRING) || 'F1'

@@ -82,9 +82,8 @@ def month_cells(base: DataFrame, params: ForecastParams) -> DataFrame:
     values = [*MEASURES, *IDENTITY, "NOTE_PIVA_CFISC_FORECAST", "ID_OFFERTA"]
     if params.row_key is None:
         rows = rows.withColumns({"_row": F.xxhash64(*base.columns), "_row2": F.hash(*base.columns)})
-        rows = rows.groupBy(*CELL, "_row", "_row2").agg(
-            F.count(F.lit(1)).alias("_m"), *[F.max(v).alias(v) for v in values]
-        )
+        # The values follow from the hashes; as grouping columns they keep this a hash aggregate.
+        rows = rows.groupBy(*CELL, "_row", "_row2", *values).agg(F.count(F.lit(1)).alias("_m"))
     else:
         rows = rows.select(*CELL, F.lit(1).cast("bigint").alias("_m"), *values)
     return rows.groupBy(*CELL).agg(
@@ -220,11 +219,9 @@ def mean_rows(months: DataFrame, targets: DataFrame, cells: DataFrame, params: F
         *[F.avg(m).alias(m) for m in MEASURES],
     )
     profile = keep_matching(profile, targets, [G, KEY])
-    months_open = F.filter(
-        month_array(params.calendar),
-        lambda m: ~F.array_contains(F.col("_seen"), F.month(m)) & (m >= F.col("PRIMA_DATA")),
-    )
-    out = profile.withColumn(DATE, F.explode(months_open)).drop("_seen")
+    out = profile.withColumn(DATE, F.explode(month_array(params.calendar)))
+    open_month = ~F.array_contains("_seen", F.month(DATE)) & (F.col(DATE) >= F.col("PRIMA_DATA"))
+    out = out.where(open_month).drop("_seen")
     taken = (
         cells.where(F.col(DATE).isin(params.calendar))
         .select(KEY, DATE, "TUTTI_ID")
@@ -327,7 +324,7 @@ def forecast(published: DataFrame, params: ForecastParams, workspace: Workspace
     # Staged twice: the statistics of parties and keys are read back several times.
     cells = work.stage(month_cells(base, params), "month_cells")
     cells = work.stage(classify(cells, params), "cells")
-    months = key_months(cells)
+    months = work.stage(key_months(cells), "months")
     gaps = work.stage(
         gap_months(
             cells.where(F.col(KEY).isNotNull()), [G, KEY], DATE, params.lapse_months + 1, params.calendar
@@ -337,7 +334,7 @@ def forecast(published: DataFrame, params: ForecastParams, workspace: Workspace
     never = gaps.where(~F.col("RIEMPIBILE")).withColumnRenamed("MESE_BUCO", "MESE_PROIETTATO")
     chosen = choose_sources(months, params)
     targets = work.stage(project_sources(chosen, cells, params), "targets")
-    means = enrich_means(mean_rows(months, targets, cells, params), targets, cells)
+    means = enrich_means(work.stage(mean_rows(months, targets, cells, params), "mean_rows"), targets, cells)
 
     # Projections into gaps that stay open go first, then booked and projected volumes meet.
     targets = delete_matching(targets, never, [G, KEY, "MESE_PROIETTATO"])

@@ -16,7 +16,8 @@ names = sys.argv[2:] or list(entry.queries())
 path = f"/root/testdata/sf{sf}"
 spark = (
     SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
-    .config("spark.ui.enabled", "false").config("spark.driver.memory", "12g").getOrCreate()
+    .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+    .config("spark.driver.memory", "12g").getOrCreate()
 )
 spark.sparkContext.setLogLevel("ERROR")
 con = connect(path)
