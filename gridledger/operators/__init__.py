@@ -23,6 +23,7 @@ from gridledger.operators.sets import (
 from gridledger.operators.updates import (
     assign,
     attach,
+    attach_all,
     attach_range,
     delete_matching,
     detach,
@@ -40,7 +41,7 @@ from gridledger.operators.windows import (
 )
 
 __all__ = [
-    "anti_join", "append_common", "append_mapped", "assert_unique", "assign", "attach", "attach_range",
+    "anti_join", "append_common", "append_mapped", "assert_unique", "assign", "attach", "attach_all", "attach_range",
     "calendar_frame", "cascade_lookup", "control_total", "count_distinct_over", "delete_matching", "detach",
     "diff_tables", "exact_or_wildcard", "expand_between", "fill_last", "filter_pairs", "gap_months",
     "intersect_distinct", "keep_extreme", "keep_matching", "lookup", "merge_update", "overlay",

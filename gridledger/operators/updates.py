@@ -35,17 +35,23 @@ def _slotted(target: DataFrame, source: DataFrame, slots: int, spread_by: Sequen
     return target, source.withColumn("_slot_s", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
 
 
+def _prefixed(source: DataFrame, as_: str) -> DataFrame:
+    return source.select(*[F.col(c).alias(f"{as_}__{c}") for c in source.columns])
+
+
 def _joined(target, source, as_, keys, extra, slots, spread_by):
-    renamed = source.select(*[F.col(c).alias(f"{as_}__{c}") for c in source.columns])
-    left = target.withColumns({f"_k{i}": v for i, v in enumerate(keys.values())})
-    conds = [F.col(f"_k{i}") == F.col(f"{as_}__{k}") for i, k in enumerate(keys)]
+    """Left join on ``target expression = {as_}__key``; plain key columns keep their partitioning."""
+    return _join_prefixed(target, _prefixed(source, as_), {f"{as_}__{k}": v for k, v in keys.items()}, extra, slots, spread_by)
+
+
+def _join_prefixed(target, side, keys, extra, slots, spread_by):
+    conds = [v == F.col(k) for k, v in keys.items()]
     if slots > 1:
-        left, renamed = _slotted(left, renamed, slots, spread_by)
+        target, side = _slotted(target, side, slots, spread_by)
         conds.append(F.col("_slot") == F.col("_slot_s"))
     if extra is not None:
         conds.append(extra)
-    out = left.join(renamed, reduce(lambda a, b: a & b, conds), "left")
-    return out.drop(*[f"_k{i}" for i in range(len(keys))], "_slot", "_slot_s")
+    return target.join(side, reduce(lambda a, b: a & b, conds), "left").drop("_slot", "_slot_s")
 
 
 def _hit(as_: str, ambiguous: Column) -> Column:
@@ -72,8 +78,43 @@ def attach(
     usable = source.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     counted = usable.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     out = _joined(target, counted, as_, keys, None, slots, spread_by or target.columns)
+    return out.withColumn(f"{as_}__hit", _unique_hit(as_))
+
+
+def _unique_hit(as_: str) -> Column:
     n = F.col(f"{as_}__n")
-    return out.withColumn(f"{as_}__hit", F.when(n.isNotNull(), _hit(as_, n > 1)).otherwise(F.lit(False)))
+    return F.when(n.isNotNull(), _hit(as_, n > 1)).otherwise(F.lit(False))
+
+
+def attach_all(
+    target: DataFrame,
+    sources: Mapping[str, DataFrame],
+    on: Mapping[str, "Column | str"],
+    slots: int = 1,
+    spread_by: Sequence[str] = (),
+) -> DataFrame:
+    """``attach`` several sources that share a key with one join of the target.
+
+    The sources, each already grouped by the key for its duplicate count, are joined
+    to one another first, so the wide target is shuffled once for all of them.
+    """
+    if not sources:
+        return target
+    keys = _pairs(on)
+    side = None
+    for as_, source in sources.items():
+        usable = source.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+        counted = usable.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+        part = counted.select(
+            *[F.col(k).alias(f"_q_{k}") for k in keys],
+            *[F.col(c).alias(f"{as_}__{c}") for c in counted.columns if c not in keys],
+        )
+        side = part if side is None else side.join(part, [f"_q_{k}" for k in keys], "full")
+    out = _join_prefixed(
+        target, side, {f"_q_{k}": v for k, v in keys.items()}, None, slots, spread_by or target.columns
+    )
+    out = out.drop(*[f"_q_{k}" for k in keys])
+    return out.withColumns({f"{as_}__hit": _unique_hit(as_) for as_ in sources})
 
 
 def attach_range(
