@@ -1,5 +1,5 @@
-from gridledger.plans.forecast import forecast
-from gridledger.plans.keys import keys
-from gridledger.plans.master import master
+from gridledger.plans.forecasting import forecast
+from gridledger.plans.keyset import keys
+from gridledger.plans.margins import master, net_predecessors
 
-__all__ = ["forecast", "keys", "master"]
+__all__ = ["forecast", "keys", "master", "net_predecessors"]
