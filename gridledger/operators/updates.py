@@ -76,13 +76,13 @@ def attach(
     """
     keys = _pairs(on)
     usable = source.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    counted = usable.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    counted = usable.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     out = _joined(target, counted, as_, keys, None, slots, spread_by or target.columns)
     return out.withColumn(f"{as_}__hit", _unique_hit(as_))
 
 
 def _unique_hit(as_: str) -> Column:
-    n = F.col(f"{as_}__n")
+    n = F.col(f"{as_}___rows")
     return F.when(n.isNotNull(), _hit(as_, n > 1)).otherwise(F.lit(False))
 
 
@@ -104,7 +104,7 @@ def attach_all(
     side = None
     for as_, source in sources.items():
         usable = source.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-        counted = usable.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+        counted = usable.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
         part = counted.select(
             *[F.col(k).alias(f"_q_{k}") for k in keys],
             *[F.col(c).alias(f"{as_}__{c}") for c in counted.columns if c not in keys],
@@ -136,11 +136,11 @@ def attach_range(
     keys = _pairs(on)
     usable = source.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     earlier = Window.partitionBy(*keys).orderBy(lo, hi).rowsBetween(Window.unboundedPreceding, -1)
-    versions = usable.withColumn("n", F.max(hi).over(earlier))
+    versions = usable.withColumn("_rows", F.max(hi).over(earlier))
     day = F.col(date) if isinstance(date, str) else date
     extra = day.between(F.col(f"{as_}__{lo}"), F.col(f"{as_}__{hi}"))
     out = _joined(target, versions, as_, keys, extra, slots, spread_by or target.columns)
-    twice = F.coalesce(day <= F.col(f"{as_}__n"), F.lit(False))
+    twice = F.coalesce(day <= F.col(f"{as_}___rows"), F.lit(False))
     hit = F.when(F.col(f"{as_}__{lo}").isNotNull(), _hit(as_, twice)).otherwise(F.lit(False))
     return out.withColumn(f"{as_}__hit", hit)
 
