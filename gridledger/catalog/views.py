@@ -73,6 +73,13 @@ JOIN {region} ON n_regionkey = r_regionkey
 
 # --- inputs of the key set ----------------------------------------------------
 
+view(
+    "offer_partner",
+    """
+SELECT o_custkey AS partner_of, 'O' || CAST(max(o_orderkey) AS STRING) || '_02B' AS partner
+FROM {orders} WHERE o_orderpriority < '3' GROUP BY 1
+""",
+)
 view(
     "offers",
     """
@@ -102,15 +109,15 @@ SELECT o_orderkey AS ID_OFFERTA,
        CASE WHEN o_orderstatus = 'O' THEN 'DOM' END AS TIPOLOGIA_USO,
        c_name AS RAGIONE_SOCIALE, 'seller ' || CAST(c_nationkey AS STRING) AS VENDITORE,
        'C' || CAST(c_nationkey AS STRING) AS SELLER_CODE,
-       CASE WHEN o_orderstatus = 'F' THEN 'O' || CAST(o_custkey AS STRING) || 'F2' END AS CONTRATTO_OLD,
+       CASE WHEN o_orderstatus = 'F' THEN 'O' || CAST(o_custkey AS STRING) || 'F2' ELSE partner END AS CONTRATTO_OLD,
        'P' || CAST(o_custkey AS STRING) AS COD_OFFERTA_PFISSE,
-       'O' || CAST(o_orderkey AS STRING) || 'F9' AS COD_CONTRATTO_STORNATO,
+       coalesce(partner, 'O' || CAST(o_orderkey AS STRING) || 'F9') AS COD_CONTRATTO_STORNATO,
        CASE WHEN o_orderpriority = '2-HIGH' THEN 'CONSIP' || substring(CAST(o_orderdate AS STRING), 3, 2) END AS DES_BONUS_LIBERO,
        CASE WHEN o_orderstatus = 'F' THEN CAST(0.25 AS DOUBLE) END AS COEFF_POP,
        o_orderdate AS DATA_CARICAMENTO, o_orderdate AS DATA_INIZIO_OFFERTA, o_orderdate AS DATA_FINE_OFFERTA,
        o_orderdate AS DATA_INIZIO_COPERTURA, o_orderdate AS DATA_FINE_COPERTURA,
        CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderdate END AS DATA_COPERTURA_EXTRA_SYS
-FROM {orders} JOIN {customer} ON o_custkey = c_custkey
+FROM {orders} JOIN {customer} ON o_custkey = c_custkey LEFT JOIN {offer_partner} ON partner_of = o_custkey
 """,
 )
 view(

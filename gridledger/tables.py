@@ -9,6 +9,7 @@ TOTAL = "MC"
 HOURLY_BANDS = ("F1", "F2", "F3")
 PEAK_BANDS = ("P", "OP")
 BANDS = (TOTAL, *HOURLY_BANDS, *PEAK_BANDS)
+BANDED_NAMES = BANDS[1:]
 
 #: Unit families with a value per band, 48 columns.
 COST_FAMILIES = ("COSTO_MP", "SPREAD_ACQ", "VALORE_INDICE_ACQ", "COSTO_PROFILAZIONE", "SCONTO")
