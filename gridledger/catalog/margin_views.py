@@ -2,7 +2,9 @@
 
 from gridledger.catalog import views  # noqa: F401
 from gridledger.catalog.registry import view
-from gridledger.tables import BANDED_NAMES, BANDS, CUSTOMER_COLUMNS, HOURLY_BANDS, unit
+from gridledger.tables import (
+    BANDED_NAMES, BANDS, CUSTOMER_COLUMNS, HOURLY_BANDS, MASTER_SCHEMA, amount, unit, volume,
+)
 
 view(
     "rows",
@@ -182,3 +184,43 @@ SELECT CASE WHEN max(o_orderpriority) = '5-LOW' THEN 'IMP' ELSE 'MAN' END || CAS
 FROM {orders} GROUP BY o_custkey
 """,
 )
+
+# --- a wide frame straight from the lines, for single updates -------------------
+
+_FILLED = {
+    "ID_OFFERTA": "CASE WHEN tax = 0 THEN NULL ELSE CAST(l_orderkey AS STRING) END",
+    "ID_DETTAGLIO": "ID_DETTAGLIO",
+    "COD_OFFERTA": "COD_OFFERTA",
+    "CONTRATTO_OLD": "partner",
+    "COMMODITY_G_E": "CASE WHEN ls = 'F' THEN 'G' WHEN rf = 'A' THEN 'ND' ELSE 'E' END",
+    "PDP": "'P' || CAST(o_custkey AS STRING)",
+    "INDICE": "rf",
+    "TIPO_CONTRATTO": "COD_TIPO_CONTRATTO",
+    "DES_TIPO_CONTRATTO": "CASE WHEN rf = 'N' THEN 'Storno generico' ELSE 'Altro' END",
+    "DATA_DELIVERY": "CAST(date_trunc('year', shipped) AS DATE)",
+    "NUMERO_PDP": "CASE WHEN ln > 2 THEN CAST(ln AS BIGINT) END",
+    "QVD_FIX_PCV_EUR_PDP_Y": "q", "QVD_FIX_PCV_EUR": "q * 3", "QVD_VAR_CEURMC": "q * 2", "CCR_CEURMC": "CASE WHEN ln > 3 THEN q END",
+    "QTINT_PSV_CEURMC": "q * 4", "BONUSREGPAG_CEURMC_EURMWH": "CASE WHEN tax > 0.02 THEN 3 * q END",
+    "BONUSDUALFUEL_CEURMC_EURMWH": "q", "QF_VEND_EUR": "q * 9", "QF_ACQ_EUR": "CASE WHEN tax > 0.03 THEN q END",
+    "QTT_CRV_CV_MARGINANTE_CEURMC": "q", "COSTO_ENVE_EURMWH": "CASE WHEN ln > 1 THEN q END", "PREZZO_ENVE_EURMWH": "q * 2",
+    "VOLUME_NETTO_ENVE_MWH": "q", "VOLUME_LORDO_ENVE_MWH": "q + 2", "MARGINE_EXTRA_EUR": "CASE WHEN rf = 'R' THEN q END",
+    "FLG_QVD_FIX_PCV_S_N_C": "CASE ln WHEN 1 THEN 'S' WHEN 2 THEN 'C' WHEN 3 THEN 'QF_RESELLER' WHEN 4 THEN 'N' END",
+    "FLG_QVD_VAR_S_N_C": "CASE ln WHEN 1 THEN 'S' WHEN 2 THEN 'C' WHEN 3 THEN 'N' END",
+    "FLG_CCR_S_N": "CASE ln WHEN 5 THEN 'S' WHEN 2 THEN 'C' WHEN 3 THEN 'N' END",
+    "FLG_QTINT_PSV_S_N": "CASE ln WHEN 6 THEN 'S' WHEN 2 THEN 'C' END",
+}
+for _i, _b in enumerate(BANDS):
+    _FILLED[unit("COSTO_MP", _b)] = f"CASE WHEN ln = {_i + 1} THEN NULL ELSE q + {_i} END"
+    _FILLED[unit("PREZZO_MP", _b)] = f"CASE WHEN ln = {_i + 2} THEN NULL ELSE q * 2 + {_i} END"
+    _FILLED[volume("VOLUME_COPERTO", _b)] = f"CASE WHEN tax = 0.0{_i + 1} THEN NULL WHEN disc = 0.0{_i + 1} THEN 0 ELSE q * {_i + 1} END"
+    _FILLED[unit("MARGINE_MP", _b)] = "q * 100"
+    for _f in ("COSTO_MP", "RICAVO_MP"):
+        _FILLED[amount(_f, _b)] = f"CASE WHEN ln = {_i + 1} THEN NULL ELSE q * {_i + 3} END"
+_NULL_OF = {"double": "DOUBLE", "string": "STRING", "timestamp": "TIMESTAMP", "date": "DATE", "bigint": "BIGINT"}
+view(
+    "wide_rows",
+    "SELECT "
+    + ", ".join(f"{_FILLED.get(f.name, f'CAST(NULL AS {_NULL_OF[f.dataType.simpleString()]})')} AS {f.name}" for f in MASTER_SCHEMA.fields)
+    + " FROM {rows} JOIN (SELECT ID_OFFERTA AS offer_id, COD_OFFERTA, COD_TIPO_CONTRATTO FROM {offers}) o ON offer_id = l_orderkey JOIN {orders} ON o_orderkey = l_orderkey"
+    + " LEFT JOIN {offer_partner} ON partner_of = o_custkey",
+)

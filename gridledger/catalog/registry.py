@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridledger.session import tune
 from gridledger.sources import read_table
@@ -36,21 +37,30 @@ def view(name: str, sql: str) -> str:
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table or a shared view."""
     if name in TABLES:
-        return _parallel(read_table(spark, sf_dir, name, suffix=".parquet"), name)
+        return _table(spark, sf_dir, name)
     sql = VIEWS[name]
     used = set(re.findall(r"\{(\w+)\}", sql))
     return spark.sql(sql, **{t: load(spark, sf_dir, t) for t in used})
 
 
-def _parallel(df: DataFrame, name: str) -> DataFrame:
-    """Deal out a fact table that arrives in fewer splits than there are cores.
+#: Schema of each table read so far, and whether it comes in fewer splits than cores.
+_KNOWN: dict[tuple[str, str], tuple[StructType, bool]] = {}
 
-    A table of many files passes through untouched.
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Scan a table; its schema is inferred once.
+
+    The lines are dealt out when they arrive in fewer splits than there are cores; a
+    table of many files passes through untouched.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if name != "lineitem" or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    cores = spark.sparkContext.defaultParallelism
+    if (sf_dir, name) not in _KNOWN:
+        df = read_table(spark, sf_dir, name, suffix=".parquet")
+        few = name == "lineitem" and df.rdd.getNumPartitions() < cores
+        _KNOWN[sf_dir, name] = (df.schema, few)
+    schema, few = _KNOWN[sf_dir, name]
+    df = read_table(spark, sf_dir, name, schema, ".parquet")
+    return df.repartition(cores) if few else df
 
 
 def _with_views(sql: str) -> str:
