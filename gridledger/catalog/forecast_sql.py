@@ -6,7 +6,7 @@ keeps all rows, so agreement of the two is a check of the cell plan.
 
 from gridledger import params as P
 from gridledger.catalog import views  # noqa: F401
-from gridledger.catalog.registry import AS_OF, milli_sql, view
+from gridledger.catalog.registry import AS_OF, VIEWS, milli_sql, view
 from gridledger.params import ForecastParams
 from gridledger.tables import BONUS, MARGIN_PARTS, PROFILE_MEASURES, SELLER_COLUMNS
 
@@ -289,3 +289,16 @@ SELECT {", ".join(PLAIN)}, {", ".join(f"{milli_sql(m)} AS {m}" for m in MEASURES
        CAST(first_month AS VARCHAR) AS CODE_MIN_DATA_DELIVERY, ckey AS CHIAVE_CLIENTE_FORECAST, note AS NOTE_FORECAST
 FROM {{f_result}}
 """
+
+
+# The same steps over rows without a key.
+RUN_NO_KEY = ForecastParams(as_of=AS_OF)
+
+
+def _renamed(sql: str) -> str:
+    return sql.replace("{f_", "{g_").replace("{published}", "{published_twice}")
+
+
+for _name in [n for n in VIEWS if n.startswith("f_")]:
+    view(f"g{_name[1:]}", _renamed(VIEWS[_name]))
+RESULT_NO_KEY_SQL = _renamed(RESULT_SQL)

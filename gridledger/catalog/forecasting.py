@@ -8,9 +8,10 @@ from pyspark.sql.window import Window
 import gridledger.plans.forecasting as plan
 from gridledger import params as P
 from gridledger.catalog import forecast_sql as S
-from gridledger.catalog.registry import load, milli, query, view
+from gridledger.catalog.registry import AS_OF, load, milli, query, view
 from gridledger.operators import calendar_frame, delete_matching, fill_last, gap_months, keep_extreme, keep_matching
 from gridledger.session import Workspace
+from gridledger.sources import append_snapshot, publish, rotate
 from gridledger.tables import SELLER_COLUMNS
 
 G, DATE, KEY, KIND = plan.G, plan.DATE, plan.KEY, plan.KIND
@@ -19,8 +20,33 @@ G, DATE, KEY, KIND = plan.G, plan.DATE, plan.KEY, plan.KIND
 @query("forecast_pipeline", S.RESULT_SQL)
 def forecast_pipeline(spark, sf_dir):
     """Booked rows, projections, mean rows and their reconciliation."""
+    return _shown(_forecast(spark, sf_dir, "published", S.RUN))
+
+
+@query("forecast_pipeline_no_key", S.RESULT_NO_KEY_SQL)
+def forecast_pipeline_no_key(spark, sf_dir):
+    """The same without a row key, over rows with copies and with exchanged nulls."""
+    return _shown(_forecast(spark, sf_dir, "published_twice", S.RUN_NO_KEY))
+
+
+@query("forecast_published", S.RESULT_SQL)
+def forecast_published(spark, sf_dir):
+    """The forecast written by month, read back, and kept as a dated snapshot that is read back."""
     work = Workspace(spark)
-    out = plan.forecast(work.stage(load(spark, sf_dir, "published"), "published"), S.RUN, work)
+    new, _ = rotate(work.path, "forecast", "2001-01-15", "2001-01-14")
+    out = work.stage(_forecast(spark, sf_dir, "published", S.RUN), "forecast")
+    publish(out, new, DATE, [G])
+    append_snapshot(spark.read.parquet(new).select(*out.columns), f"{work.path}/history", AS_OF)
+    history = spark.read.parquet(f"{work.path}/history")
+    return _shown(history.where(F.col("DATA_LANCIO") == F.lit(AS_OF)).select(*out.columns))
+
+
+def _forecast(spark, sf_dir, table, run):
+    work = Workspace(spark)
+    return plan.forecast(work.stage(load(spark, sf_dir, table), "published"), run, work)
+
+
+def _shown(out):
     return out.select(
         *S.PLAIN,
         *[milli(m).alias(m) for m in S.MEASURES],

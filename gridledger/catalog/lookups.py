@@ -86,7 +86,7 @@ def cascade(spark, sf_dir):
             (load(spark, sf_dir, "month_priority"), {"custkey": "o_custkey", "mese": "mese"}, "prezzo"),
             (load(spark, sf_dir, "customer_price"), {"custkey": "o_custkey"}, "prezzo"),
         ],
-        "prezzo", first=own, default=4.0, slots=4, spread_by=["o_orderkey"],
+        "prezzo", first=own, default=4.0, split=True,
     )
     return out.select("o_orderkey", "prezzo")
 
@@ -204,45 +204,38 @@ def sector_decode(spark, sf_dir):
 @query(
     "lookup_fan_out",
     """
-SELECT n_nationkey, n_name, s_suppkey FROM {nation} LEFT JOIN {supplier} ON s_nationkey = n_nationkey AND s_acctbal > 5000
+SELECT n_nationkey, n_name, s_suppkey FROM {nation} LEFT JOIN {supplier} ON s_nationkey * 2 = n_nationkey
 """,
 )
 def lookup_fan_out(spark, sf_dir):
     """Left lookup that keeps every match and every unmatched row."""
-    rich = load(spark, sf_dir, "supplier").where(F.col("s_acctbal") > 5000)
-    out = lookup(load(spark, sf_dir, "nation"), rich, {"s_nationkey": "n_nationkey"}, "s")
+    doubled = load(spark, sf_dir, "supplier").withColumn("s_nationkey", F.col("s_nationkey") * 2)
+    out = lookup(load(spark, sf_dir, "nation"), doubled, {"s_nationkey": "n_nationkey"}, "s")
     return out.select("n_nationkey", "n_name", F.col("s__s_suppkey").alias("s_suppkey"))
 
 
 @query(
     "specific_or_wildcard",
     """
-SELECT o_orderkey, o_custkey,
-       coalesce(i.note, w.note, 'base') AS note
-FROM {orders} o
-LEFT JOIN (SELECT l_orderkey, 'riga ' || max(l_returnflag) AS note FROM {lineitem} WHERE l_linestatus = 'F' GROUP BY 1) i
-       ON i.l_orderkey = o_orderkey
-LEFT JOIN (SELECT c_custkey, 'cliente ' || c_mktsegment AS note FROM {customer} WHERE c_acctbal > 5000) w
-       ON w.c_custkey = o_custkey AND i.l_orderkey IS NULL
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE o_orderstatus WHEN 'F' THEN 'riga ' || o_orderpriority WHEN 'O' THEN 'cliente ' || c_mktsegment ELSE 'base' END AS note
+FROM {orders} JOIN {customer} ON c_custkey = o_custkey
 """,
 )
 def specific_or_wildcard(spark, sf_dir):
-    """Overlay by row id, else by the key of source rows without an id."""
-    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").withColumn("note", F.lit("base"))
-    lines = load(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "F")
-    by_id = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.concat(F.lit("riga "), F.max("l_returnflag")).alias("note")
+    """One overlay whose source has rows with a row id and rows with a business key instead."""
+    keys = ["o_orderkey", "o_custkey", "o_orderstatus"]
+    orders = load(spark, sf_dir, "orders")
+    rows = orders.select(*keys, F.lit("base").alias("note"))
+    by_id = orders.where("o_orderstatus = 'F'").select(
+        "o_orderkey", F.lit(None).cast("bigint").alias("o_custkey"), F.lit(None).cast("string").alias("o_orderstatus"),
+        F.concat(F.lit("riga "), "o_orderpriority").alias("note"),
     )
-    by_id = by_id.withColumn("o_custkey", F.lit(None).cast("bigint"))
-    by_key = load(spark, sf_dir, "customer").where(F.col("c_acctbal") > 5000).select(
-        F.lit(None).cast("bigint").alias("o_orderkey"), F.col("c_custkey").alias("o_custkey"),
+    by_key = load(spark, sf_dir, "customer").select(
+        F.lit(None).cast("bigint").alias("o_orderkey"), F.col("c_custkey").alias("o_custkey"), F.lit("O").alias("o_orderstatus"),
         F.concat(F.lit("cliente "), "c_mktsegment").alias("note"),
     )
-    matched = orders.join(by_id.select("o_orderkey"), "o_orderkey", "left_semi")
-    open_ = orders.join(by_id.select("o_orderkey"), "o_orderkey", "left_anti")
-    first = exact_or_wildcard(matched, by_id, ["o_orderkey"], ["o_custkey"], ["note"])
-    second = exact_or_wildcard(open_, by_key.unionByName(by_id), ["o_orderkey"], ["o_custkey"], ["note"])
-    return first.unionByName(second)
+    return exact_or_wildcard(rows, by_id.unionByName(by_key), ["o_orderkey"], ["o_custkey", "o_orderstatus"], ["note"])
 
 
 @query(
@@ -378,9 +371,10 @@ SELECT COMMODITY_G_E, ID_DETTAGLIO, VOLUME_COPERTO_MC_MWH, CAST(DATA_DELIVERY AS
 )
 def publish_by_month(spark, sf_dir):
     """Full refresh into month folders, read back."""
-    new, _ = rotate(Workspace(spark).path, "published", "2001-01-15", "2001-01-14")
+    work = Workspace(spark)
+    new, _ = rotate(work.path, "published", "2001-01-15", "2001-01-14")
     rows = load(spark, sf_dir, "published").select("COMMODITY_G_E", "ID_DETTAGLIO", "VOLUME_COPERTO_MC_MWH", "DATA_DELIVERY")
-    publish(rows, new, "DATA_DELIVERY", ["COMMODITY_G_E"])
+    publish(work.stage(rows, "rows"), new, "DATA_DELIVERY", ["COMMODITY_G_E"])
     return spark.read.parquet(new)
 
 

@@ -224,3 +224,20 @@ view(
     + " FROM {rows} JOIN (SELECT ID_OFFERTA AS offer_id, COD_OFFERTA, COD_TIPO_CONTRATTO FROM {offers}) o ON offer_id = l_orderkey JOIN {orders} ON o_orderkey = l_orderkey"
     + " LEFT JOIN {offer_partner} ON partner_of = o_custkey",
 )
+
+view(
+    "bulk_import",
+    """
+SELECT ID_DETTAGLIO, CAST(l_orderkey AS STRING) AS ID_OFFERTA, coalesce(o.COD_OFFERTA, '') AS COD_OFFERTA,
+       CAST(NULL AS DATE) AS DATA_DELIVERY, shipped AS DATA_COPERTURA, 'Seller ' || CAST(ln AS STRING) AS VENDITORE
+FROM {rows} JOIN {offers} o ON o.ID_OFFERTA = CASE WHEN l_orderkey % 16 < 8 THEN l_orderkey - l_orderkey % 2 ELSE l_orderkey END
+WHERE l_orderkey % 4 = 1 AND rf <> 'N'
+UNION ALL
+SELECT DISTINCT CAST(NULL AS STRING), CAST(NULL AS STRING), COD_OFFERTA, mese, shipped, 'Seller 9'
+FROM {rows} JOIN {offers} ON ID_OFFERTA = l_orderkey WHERE l_orderkey % 4 = 2 AND rf <> 'A'
+""",
+)
+view(
+    "sellers",
+    "SELECT ID_DETTAGLIO, CASE WHEN ln > 2 THEN 'seller ' || CAST(ln AS STRING) END AS VENDITORE, 'X' || rf AS COD_VENDITORE FROM {rows} WHERE disc > 0.03",
+)

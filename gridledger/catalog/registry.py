@@ -12,7 +12,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from gridledger.session import tune
 from gridledger.sources import read_table
@@ -20,7 +19,19 @@ from gridledger.sources import read_table
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
+#: The given tables.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+}
 
 #: The run date of all registered queries.
 AS_OF = dt.date(2001, 1, 15)
@@ -36,31 +47,15 @@ def view(name: str, sql: str) -> str:
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table or a shared view."""
-    if name in TABLES:
+    if name in SCHEMAS:
         return _table(spark, sf_dir, name)
     sql = VIEWS[name]
     used = set(re.findall(r"\{(\w+)\}", sql))
     return spark.sql(sql, **{t: load(spark, sf_dir, t) for t in used})
 
 
-#: Schema of each table read so far, and whether it comes in fewer splits than cores.
-_KNOWN: dict[tuple[str, str], tuple[StructType, bool]] = {}
-
-
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan a table; its schema is inferred once.
-
-    The lines are dealt out when they arrive in fewer splits than there are cores; a
-    table of many files passes through untouched.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    if (sf_dir, name) not in _KNOWN:
-        df = read_table(spark, sf_dir, name, suffix=".parquet")
-        few = name == "lineitem" and df.rdd.getNumPartitions() < cores
-        _KNOWN[sf_dir, name] = (df.schema, few)
-    schema, few = _KNOWN[sf_dir, name]
-    df = read_table(spark, sf_dir, name, schema, ".parquet")
-    return df.repartition(cores) if few else df
+    return read_table(spark, sf_dir, name, SCHEMAS[name], ".parquet")
 
 
 def _with_views(sql: str) -> str:

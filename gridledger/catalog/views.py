@@ -5,7 +5,7 @@ status = commodity. Missing values, sentinels, adjustments and unpublished rows
 come from attribute values of the tables, so every row takes part.
 """
 
-from gridledger.catalog.registry import view
+from gridledger.catalog.registry import VIEWS, view
 
 view(
     "customer_keys",
@@ -71,6 +71,18 @@ JOIN {region} ON n_regionkey = r_regionkey
 """,
 )
 
+# Rows that occur twice, and rows that differ from others only in which holder field is null.
+_HOLDER = "P_IVA_TITOLARE, COD_FISC_TITOLARE, RAG_SOC_TITOLARE"
+view("published_exchanged", VIEWS["published"].replace(_HOLDER, "COD_FISC_TITOLARE AS P_IVA_TITOLARE, P_IVA_TITOLARE AS COD_FISC_TITOLARE, RAG_SOC_TITOLARE"))
+view(
+    "published_twice",
+    """
+SELECT * FROM {published}
+UNION ALL SELECT * FROM {published} WHERE MARGINE_MP_EUR < 20000
+UNION ALL SELECT * FROM {published_exchanged} WHERE MARGINE_MP_EUR > 60000
+""",
+)
+
 # --- inputs of the key set ----------------------------------------------------
 
 view(

@@ -79,11 +79,6 @@ def commodity(c: Column | str = "VETTORE") -> Column:
     return F.when(col(c) == "ELE", "E").when(col(c) == "GAS", "G").otherwise("ND")
 
 
-def unit_scale(c: Column | str = "COMMODITY_G_E") -> Column:
-    """Gas unit prices are in cents."""
-    return F.when(col(c) == "G", F.lit(100.0)).otherwise(F.lit(1.0))
-
-
 def weighted_bands(values: Sequence[Column], volumes: Sequence[Column], total: Column) -> Column:
     """Volume-weighted mean of band values; null when the total is null or zero."""
     parts = reduce(lambda a, b: a + b, [v * q for v, q in zip(values, volumes)])

@@ -28,6 +28,7 @@ from gridledger.operators.updates import (
     delete_matching,
     detach,
     keep_matching,
+    matched,
     merge_update,
     overlay,
     update_where,
@@ -44,6 +45,6 @@ __all__ = [
     "anti_join", "append_common", "append_mapped", "assert_unique", "assign", "attach", "attach_all", "attach_range",
     "calendar_frame", "cascade_lookup", "control_total", "count_distinct_over", "delete_matching", "detach",
     "diff_tables", "exact_or_wildcard", "expand_between", "fill_last", "filter_pairs", "gap_months",
-    "intersect_distinct", "keep_extreme", "keep_matching", "lookup", "merge_update", "overlay",
+    "intersect_distinct", "keep_extreme", "keep_matching", "lookup", "matched", "merge_update", "overlay",
     "project_on_calendar", "qualify", "range_lookup", "spread_join", "top1", "union_distinct", "update_where",
 ]

@@ -1,4 +1,4 @@
-"""Lookup joins. None broadcasts by hint: Spark broadcasts what it measures as small."""
+"""Lookup joins. Only a list of bounded length is broadcast by hint; Spark broadcasts what it measures as small."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ from gridledger.operators.updates import Keys, _joined, _pairs
 
 #: Rows of one key that a single join task should handle at most.
 ROWS_PER_TASK = 2_000_000
+#: Keys that are split at most, the largest first. Keys beyond them stay whole.
+HOT_KEYS = 100_000
 
 
 def spread_join(
@@ -28,19 +30,18 @@ def spread_join(
     ``right[weight]`` is the number of left rows of the key. A key above
     ``rows_per_task`` is cut into as many parts as it needs: its left rows hash to
     a part, its right row is copied once per part. The broadcast list of such keys
-    has at most ``rows(left) / rows_per_task`` entries, since the weights add up
-    to the number of left rows. ``weight`` is dropped from the result.
+    has at most ``HOT_KEYS`` entries. ``weight`` is dropped from the result.
 
-    ``spread_by`` names columns that tell the rows of a key apart. Without it the
-    position of a row in its partition does, which also splits copies of one row;
-    use that on table scans, where the position is the same when a task is run again.
+    ``spread_by`` names columns that tell the rows of a key apart, by default all of
+    them. A row's part follows from its values, so it is the same when a task is run
+    again; copies of one row share a part.
     """
     parts = F.ceil(F.col(weight) / F.lit(rows_per_task)).cast("int")
-    hot = right.where(F.col(weight) > rows_per_task).select(
+    hot = right.where(F.col(weight) > rows_per_task).orderBy(F.desc(weight), *on).limit(HOT_KEYS).select(
         *[F.col(k).alias(f"_h_{k}") for k in on], parts.alias("_parts")
     )
     is_hot = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in on])
-    row_hash = F.xxhash64(*(spread_by or [F.monotonically_increasing_id()]))
+    row_hash = F.xxhash64(*(spread_by or left.columns))
     part = F.coalesce(F.pmod(row_hash, F.col("_parts")), F.lit(0)).cast("int")
     marked = left.join(F.broadcast(hot), is_hot, "left").withColumn("_part", part)
     marked = marked.drop("_parts", *[f"_h_{k}" for k in on])
@@ -60,11 +61,10 @@ def lookup(
     dim: DataFrame,
     on: Keys,
     as_: str,
-    slots: int = 1,
-    spread_by: Sequence[str] = (),
+    split: bool = False,
 ) -> DataFrame:
     """Left join that adds the dimension as ``{as_}__*`` and keeps every match."""
-    return _joined(df, dim, as_, _pairs(on), None, slots, spread_by or df.columns)
+    return _joined(df, dim, as_, _pairs(on), None, split)
 
 
 def range_lookup(
@@ -75,13 +75,12 @@ def range_lookup(
     lo: str,
     hi: str,
     as_: str,
-    slots: int = 1,
-    spread_by: Sequence[str] = (),
+    split: bool = False,
 ) -> DataFrame:
     """Left join on a key and a validity range; every valid version matches."""
     day = F.col(date) if isinstance(date, str) else date
     extra = day.between(F.col(f"{as_}__{lo}"), F.col(f"{as_}__{hi}"))
-    return _joined(df, dim, as_, _pairs(on), extra, slots, spread_by or df.columns)
+    return _joined(df, dim, as_, _pairs(on), extra, split)
 
 
 def cascade_lookup(
@@ -90,15 +89,14 @@ def cascade_lookup(
     name: str,
     first: Column | str | None = None,
     default: object | None = None,
-    slots: int = 1,
-    spread_by: Sequence[str] = (),
+    split: bool = False,
 ) -> DataFrame:
     """First non-null of: ``first``, each ``(dimension, keys, value)`` step, ``default``."""
     columns = list(df.columns)
     candidates = [] if first is None else [F.col(first) if isinstance(first, str) else first]
     out = df
     for i, (dim, on, value) in enumerate(steps):
-        out = lookup(out, dim, on, f"_c{i}", slots, spread_by or columns)
+        out = lookup(out, dim, on, f"_c{i}", split)
         candidates.append(F.col(f"_c{i}__{value}"))
     if default is not None:
         candidates.append(F.lit(default))
@@ -118,15 +116,15 @@ def exact_or_wildcard(
     An OR join condition would compare all pairs; two equi-joins do the same work.
     A row that matches both ways is ambiguous and raises.
     """
-    from gridledger.operators.updates import assign, attach, detach
+    from gridledger.operators.updates import assign, attach, detach, matched
 
     ids = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in exact])
     no_ids = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in exact])
     out = attach(df, source.where(ids).select(*exact, *columns), list(exact), "x")
     keyed = source.where(no_ids).select(*[F.col(c).alias(f"k_{c}") for c in wildcard], *columns)
-    out = attach(out, keyed, {f"k_{c}": c for c in wildcard}, "w", slots=8, spread_by=list(exact))
+    out = attach(out, keyed, {f"k_{c}": c for c in wildcard}, "w", split=True)
     both = F.raise_error(F.lit("a row matches by id and by key")).cast("boolean")
-    hit = F.when(F.col("x__hit") & F.col("w__hit"), both).otherwise(F.col("x__hit") | F.col("w__hit"))
+    hit = F.when(F.col("x__hit") & F.col("w__hit"), both).otherwise(matched("x") | matched("w"))
     return detach(assign(out, {c: F.coalesce(f"x__{c}", f"w__{c}", c) for c in columns}, hit), "x", "w")
 
 

@@ -29,69 +29,79 @@ def _expr(value: Column | str) -> Column:
     return F.expr(value) if isinstance(value, str) else value
 
 
-def _slotted(target: DataFrame, source: DataFrame, slots: int, spread_by: Sequence[str]):
-    """Split every key over ``slots`` partitions: hash the target rows, copy the source rows."""
-    target = target.withColumn("_slot", F.pmod(F.xxhash64(*spread_by), F.lit(slots)).cast("int"))
-    return target, source.withColumn("_slot_s", F.explode(F.sequence(F.lit(0), F.lit(slots - 1))))
+def _again(target: DataFrame, side: DataFrame, keys: Mapping[str, Column]) -> Column | None:
+    """A second condition that follows from an equal key of one type on both sides.
+
+    It asks both inputs for a partitioning neither has yet, so both come as fresh
+    exchanges: only then can adaptive execution split the partitions that it
+    measures as skewed.
+    """
+    for k, v in keys.items():
+        if target.select(v).schema[0].dataType == side.schema[k].dataType:
+            return F.xxhash64(v) == F.xxhash64(F.col(k))
+    return None
 
 
 def _prefixed(source: DataFrame, as_: str) -> DataFrame:
     return source.select(*[F.col(c).alias(f"{as_}__{c}") for c in source.columns])
 
 
-def _joined(target, source, as_, keys, extra, slots, spread_by):
+def _joined(target, source, as_, keys, extra, split):
     """Left join on ``target expression = {as_}__key``; plain key columns keep their partitioning."""
-    return _join_prefixed(target, _prefixed(source, as_), {f"{as_}__{k}": v for k, v in keys.items()}, extra, slots, spread_by)
+    return _join_prefixed(target, _prefixed(source, as_), {f"{as_}__{k}": v for k, v in keys.items()}, extra, split)
 
 
-def _join_prefixed(target, side, keys, extra, slots, spread_by):
+def _join_prefixed(target, side, keys, extra, split):
     conds = [v == F.col(k) for k, v in keys.items()]
-    if slots > 1:
-        target, side = _slotted(target, side, slots, spread_by)
-        conds.append(F.col("_slot") == F.col("_slot_s"))
-    if extra is not None:
-        conds.append(extra)
-    return target.join(side, reduce(lambda a, b: a & b, conds), "left").drop("_slot", "_slot_s")
+    again = _again(target, side, keys) if split else None
+    conds += [c for c in (again, extra) if c is not None]
+    return target.join(side, reduce(lambda a, b: a & b, conds), "left")
+
+
+def _one_each(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per non-null key, and ``_many`` where the source has several."""
+    usable = source.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    own = Window.partitionBy(*keys).orderBy(*keys)
+    whole = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    marked = usable.withColumns({"_place": F.row_number().over(own), "_many": F.count(F.lit(1)).over(whole) > 1})
+    return marked.where("_place = 1").drop("_place")
+
 
+def matched(as_: str, when: Column | str | None = None) -> Column:
+    """True where a row has a match in an attached source and ``when`` holds.
 
-def _hit(as_: str, ambiguous: Column) -> Column:
+    Raises where several source rows match such a row, as an ambiguous update does;
+    rows that ``when`` leaves out may match as many as they like. ``when`` reads the
+    target: a condition on the source alone belongs in a filter of the source.
+    """
+    hit = F.col(f"{as_}__hit")
+    cond = hit if when is None else hit & _expr(when)
     error = F.raise_error(F.lit(f"several rows of '{as_}' match one target row")).cast("boolean")
-    return F.when(ambiguous, error).otherwise(F.lit(True))
+    return F.when(cond, F.when(F.col(f"{as_}__many"), error).otherwise(F.lit(True))).otherwise(F.lit(False))
 
 
-def attach(
-    target: DataFrame,
-    source: DataFrame,
-    on: Keys,
-    as_: str,
-    slots: int = 1,
-    spread_by: Sequence[str] = (),
-) -> DataFrame:
-    """Left-join ``source`` as columns ``{as_}__*`` plus the flag ``{as_}__hit``.
+def attach(target: DataFrame, source: DataFrame, on: Keys, as_: str, split: bool = False) -> DataFrame:
+    """Left-join ``source`` as columns ``{as_}__*`` plus the flags ``{as_}__hit`` and ``{as_}__many``.
 
-    A target row that would match several source rows raises when the flag is
-    read, as an ambiguous update does. Null keys match nothing. Use ``slots`` for
-    keys shared by many target rows: a key then spreads over that many partitions,
-    and both join inputs are fresh exchanges that adaptive execution can split more.
+    A target row stays one row; whether several source rows match it shows in the
+    second flag, and ``matched`` raises on it. Null keys match nothing. Use ``split``
+    for keys shared by many target rows: adaptive execution then splits the
+    partitions that it measures as too large.
     """
     keys = _pairs(on)
-    usable = source.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    counted = usable.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    out = _joined(target, counted, as_, keys, None, slots, spread_by or target.columns)
-    return out.withColumn(f"{as_}__hit", _unique_hit(as_))
+    out = _joined(target, _one_each(source, list(keys)), as_, keys, None, split)
+    return _flagged(out, as_)
 
 
-def _unique_hit(as_: str) -> Column:
-    n = F.col(f"{as_}___rows")
-    return F.when(n.isNotNull(), _hit(as_, n > 1)).otherwise(F.lit(False))
+def _flagged(df: DataFrame, as_: str) -> DataFrame:
+    many = F.col(f"{as_}___many")
+    return df.withColumns(
+        {f"{as_}__hit": many.isNotNull(), f"{as_}__many": F.coalesce(many, F.lit(False))}
+    ).drop(f"{as_}___many")
 
 
 def attach_all(
-    target: DataFrame,
-    sources: Mapping[str, DataFrame],
-    on: Mapping[str, "Column | str"],
-    slots: int = 1,
-    spread_by: Sequence[str] = (),
+    target: DataFrame, sources: Mapping[str, DataFrame], on: Mapping[str, "Column | str"], split: bool = False
 ) -> DataFrame:
     """``attach`` several sources that share a key with one join of the target.
 
@@ -103,46 +113,38 @@ def attach_all(
     keys = _pairs(on)
     side = None
     for as_, source in sources.items():
-        usable = source.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-        counted = usable.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-        part = counted.select(
+        one = _one_each(source, list(keys))
+        part = one.select(
             *[F.col(k).alias(f"_q_{k}") for k in keys],
-            *[F.col(c).alias(f"{as_}__{c}") for c in counted.columns if c not in keys],
+            *[F.col(c).alias(f"{as_}__{c}") for c in one.columns if c not in keys],
         )
         side = part if side is None else side.join(part, [f"_q_{k}" for k in keys], "full")
-    out = _join_prefixed(
-        target, side, {f"_q_{k}": v for k, v in keys.items()}, None, slots, spread_by or target.columns
-    )
-    out = out.drop(*[f"_q_{k}" for k in keys])
-    return out.withColumns({f"{as_}__hit": _unique_hit(as_) for as_ in sources})
+    out = _join_prefixed(target, side, {f"_q_{k}": v for k, v in keys.items()}, None, split)
+    return reduce(_flagged, sources, out.drop(*[f"_q_{k}" for k in keys]))
 
 
 def attach_range(
-    target: DataFrame,
-    source: DataFrame,
-    on: Keys,
-    date: Column | str,
-    lo: str,
-    hi: str,
-    as_: str,
-    slots: int = 1,
-    spread_by: Sequence[str] = (),
+    target: DataFrame, source: DataFrame, on: Keys, date: Column | str, lo: str, hi: str, as_: str, split: bool = False
 ) -> DataFrame:
     """``attach`` to the source version whose ``[lo, hi]`` holds the target date.
 
-    Overlapping versions raise, but only for a date that really falls in two: the
-    later version of the pair starts before the highest end seen so far.
+    Overlapping versions are ambiguous only for a date that really falls in two: the
+    later version of the pair starts before the highest end seen so far. Such a row
+    comes once per version, so its update must be unconditional and raise.
     """
     keys = _pairs(on)
     usable = source.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
     earlier = Window.partitionBy(*keys).orderBy(lo, hi).rowsBetween(Window.unboundedPreceding, -1)
-    versions = usable.withColumn("_rows", F.max(hi).over(earlier))
+    versions = usable.withColumn("_until", F.max(hi).over(earlier))
     day = F.col(date) if isinstance(date, str) else date
     extra = day.between(F.col(f"{as_}__{lo}"), F.col(f"{as_}__{hi}"))
-    out = _joined(target, versions, as_, keys, extra, slots, spread_by or target.columns)
-    twice = F.coalesce(day <= F.col(f"{as_}___rows"), F.lit(False))
-    hit = F.when(F.col(f"{as_}__{lo}").isNotNull(), _hit(as_, twice)).otherwise(F.lit(False))
-    return out.withColumn(f"{as_}__hit", hit)
+    out = _joined(target, versions, as_, keys, extra, split)
+    return out.withColumns(
+        {
+            f"{as_}__hit": F.col(f"{as_}__{lo}").isNotNull(),
+            f"{as_}__many": F.coalesce(day <= F.col(f"{as_}___until"), F.lit(False)),
+        }
+    )
 
 
 def detach(df: DataFrame, *names: str) -> DataFrame:
@@ -180,17 +182,14 @@ def merge_update(
     set: Mapping[str, Column | str],
     when: Column | str | None = None,
     as_: str = "s",
-    slots: int = 1,
-    spread_by: Sequence[str] = (),
+    split: bool = False,
 ) -> DataFrame:
     """Update matched target rows; expressions name source columns ``{as_}__x``.
 
-    ``when`` is an extra condition on either side. The row count never changes.
+    ``when`` is an extra condition; only rows that pass it must match one source row.
+    The row count never changes.
     """
-    joined = attach(target, source, on, as_, slots, spread_by)
-    hit = F.col(f"{as_}__hit")
-    cond = hit if when is None else hit & _expr(when)
-    return detach(assign(joined, set, cond), as_)
+    return detach(assign(attach(target, source, on, as_, split), set, matched(as_, when)), as_)
 
 
 def overlay(
@@ -200,8 +199,7 @@ def overlay(
     columns: Sequence[str] | Mapping[str, str],
     prefer: str = "source",
     as_: str = "s",
-    slots: int = 1,
-    spread_by: Sequence[str] = (),
+    split: bool = False,
 ) -> DataFrame:
     """Take the preferred side's value where it has one, else the other's."""
     names = columns if isinstance(columns, Mapping) else {c: c for c in columns}
@@ -209,7 +207,7 @@ def overlay(
         t: F.coalesce(*((f"{as_}__{s}", t) if prefer == "source" else (t, f"{as_}__{s}")))
         for t, s in names.items()
     }
-    return merge_update(target, source, on, pick, as_=as_, slots=slots, spread_by=spread_by)
+    return merge_update(target, source, on, pick, as_=as_, split=split)
 
 
 def delete_matching(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -79,8 +79,9 @@ def add_months(day: dt.date, months: int) -> dt.date:
 class ForecastParams:
     """Forecast run. ``as_of`` replaces every clock read.
 
-    ``row_key`` names columns known to identify an input row; with it the plan
-    skips the removal of identical projected rows. ``None`` makes no assumption.
+    ``row_key`` names columns that identify an input row, which the plan checks; with
+    it the plan skips the removal of identical projected rows. ``None`` makes no
+    assumption.
     """
 
     as_of: dt.date
@@ -112,7 +113,7 @@ class KeysParams:
     """Scope of the key set. ``offer_pattern`` restricts it to one offer family."""
 
     delivery_from: dt.date = dt.date(2024, 1, 1)
-    offer_pattern: str | None = "%_PPA%"
+    offer_pattern: str | None = None
     covered_states: tuple[int, ...] = (5,)
     special_price_states: tuple[int, ...] = (8,)
     default_voltage: float = 4.0
@@ -126,7 +127,7 @@ class RelatedPartyRules:
     """
 
     group_vats: tuple[str, ...] = ()
-    group_area: str = "Saux"
+    group_area: str | None = None
     other_area: str = "Altri IC"
     intercompany_seller: str | None = None
     intercompany_manager: str | None = None

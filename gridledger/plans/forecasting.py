@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from gridledger import params as P
@@ -22,6 +23,7 @@ from gridledger.functions import has_point, is_regular_offer, party_key
 from gridledger.operators import (
     anti_join,
     append_common,
+    assert_unique,
     delete_matching,
     fill_last,
     gap_months,
@@ -71,27 +73,47 @@ def _total_margin() -> Column:
     return total - F.coalesce(F.col(BONUS), F.lit(0.0))
 
 
+def row_digest(schema: StructType) -> Column:
+    """Digest that rows share when all their values are equal, nulls and zeros of either sign included.
+
+    Each value goes in with its length, and a null is marked, so no two different rows
+    have the same text.
+    """
+    parts = []
+    for f in schema.fields:
+        c = F.col(f.name)
+        text = (c + 0.0 if f.dataType.typeName() in ("double", "float") else c).cast("string")
+        parts.append(F.when(c.isNull(), "n").otherwise(F.concat(F.length(text).cast("string"), F.lit(":"), text)))
+    return F.sha2(F.concat(*parts), 256)
+
+
 def month_cells(base: DataFrame, params: ForecastParams) -> DataFrame:
     """Counts, sums and identity values per cell.
 
     Projections drop rows that are copies of each other, so cells also carry the
     volume of distinct rows. Without a declared row key, rows are told apart by a
-    hash over all their columns; with one, no row has a copy.
+    digest of all their columns; with one, no row has a copy.
     """
     rows = _with_regular(base).withColumn("MARGINE_TOTALE_EUR", _total_margin())
-    values = [*MEASURES, *IDENTITY, "NOTE_PIVA_CFISC_FORECAST", "ID_OFFERTA"]
+    texts = [*IDENTITY, "NOTE_PIVA_CFISC_FORECAST"]
+    values = [*MEASURES, *texts, "ID_OFFERTA"]
     if params.row_key is None:
-        rows = rows.withColumns({"_row": F.xxhash64(*base.columns), "_row2": F.hash(*base.columns)})
-        # The values follow from the hashes; as grouping columns they keep this a hash aggregate.
-        rows = rows.groupBy(*CELL, "_row", "_row2", *values).agg(F.count(F.lit(1)).alias("_m"))
+        rows = rows.withColumn("_row", row_digest(base.schema))
+        # The values follow from the digest; as grouping columns they keep this a hash aggregate.
+        rows = rows.groupBy(*CELL, "_row", *values).agg(F.count(F.lit(1)).alias("_m"))
     else:
         rows = rows.select(*CELL, F.lit(1).cast("bigint").alias("_m"), *values)
-    return rows.groupBy(*CELL).agg(
+    # Maxima of texts sort their input, so they are taken of the few rows that sums leave.
+    summed = rows.groupBy(*CELL, *texts).agg(
         F.sum("_m").alias("_n"),
         F.sum(VOLUME).alias("VOLUME_DISTINTO"),
         *[F.sum(F.col(m) * F.col("_m")).alias(m) for m in MEASURES],
         F.bool_and(F.col("ID_OFFERTA").isNotNull()).alias("TUTTI_ID"),
-        *[F.max(c).alias(c) for c in (*IDENTITY, "NOTE_PIVA_CFISC_FORECAST")],
+    )
+    return summed.groupBy(*CELL).agg(
+        *[F.sum(c).alias(c) for c in ("_n", "VOLUME_DISTINTO", *MEASURES)],
+        F.bool_and("TUTTI_ID").alias("TUTTI_ID"),
+        *[F.max(c).alias(c) for c in texts],
     )
 
 
@@ -321,6 +343,8 @@ def forecast(published: DataFrame, params: ForecastParams, workspace: Workspace
     """Booked rows plus projections up to the scenario end, with their notes."""
     work = workspace or Workspace(published.sparkSession)
     base = base_rows(published, params)
+    if params.row_key is not None:
+        assert_unique(base, params.row_key).agg(F.sum("n")).collect()
     # Staged twice: the statistics of parties and keys are read back several times.
     cells = work.stage(month_cells(base, params), "month_cells")
     cells = work.stage(classify(cells, params), "cells")
@@ -350,7 +374,7 @@ def forecast(published: DataFrame, params: ForecastParams, workspace: Workspace
     offers = prevailing(last, ["COD_OFFERTA"])
 
     plans = work.stage(_cell_plans(cells, targets, losers, sellers), "plans")
-    rows = _assemble(base, plans, params)
+    rows = _assemble(base, plans, params, work)
     mean_out = (
         means.join(offers, [G, KEY], "left")
         .join(sellers, [G, KEY], "left")
@@ -392,8 +416,12 @@ def _cell_plans(cells: DataFrame, targets: DataFrame, losers: DataFrame, sellers
     )
 
 
-def _assemble(base: DataFrame, plans: DataFrame, params: ForecastParams) -> DataFrame:
-    """Join the wide rows to their cell and unfold booked rows and projections."""
+def _assemble(base: DataFrame, plans: DataFrame, params: ForecastParams, work: Workspace) -> DataFrame:
+    """Join the wide rows to their cell and unfold booked rows and projections.
+
+    The wide rows are joined once. Without a row key the joined rows are written, since
+    they are read for the booked rows and for the distinct rows to project.
+    """
     rows = spread_join(_with_regular(base), plans, list(CELL), "_n", "inner")
     rows = rows.withColumns({KIND: F.col("_kind"), KEY: F.col("_key"), "CODE_MIN_DATA_DELIVERY": F.col("_first")})
     entry = "struct<mese:date,nota:string,proiettata:boolean>"
@@ -401,6 +429,7 @@ def _assemble(base: DataFrame, plans: DataFrame, params: ForecastParams) -> Data
     months = F.transform("_months", lambda m: F.struct(m.mese, m.nota, F.lit(True).alias("proiettata")))
     if params.row_key is None:
         # Copies of a row stay among the booked rows and go from the projections.
+        rows = work.stage(rows, "planned")
         sources = rows.where(F.col("_months").isNotNull()).distinct()
         rows = rows.withColumn("_entries", booked.cast(f"array<{entry}>")).unionByName(
             sources.withColumn("_entries", months.cast(f"array<{entry}>"))

@@ -31,6 +31,7 @@ class Workspace:
 
     The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
     local session, which has no other machines, falls back to a folder of its own.
+    What is left in it goes when the session's JVM ends.
     """
 
     def __init__(self, spark: SparkSession):
@@ -41,6 +42,13 @@ class Workspace:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             root = tempfile.mkdtemp(prefix="gridledger-")
         self.path = f"{root.rstrip('/')}/gridledger-{uuid.uuid4().hex}"
+        folder, files = self._folder()
+        files.mkdirs(folder)
+        files.deleteOnExit(folder)
+
+    def _folder(self):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return a scan of it."""
@@ -50,5 +58,5 @@ class Workspace:
 
     def drop(self) -> None:
         """Remove all staged tables once the final result has been written."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        folder, files = self._folder()
+        files.delete(folder, True)

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 
 def read_table(
-    spark: SparkSession, root: str, name: str, schema: StructType | None = None, suffix: str = ""
+    spark: SparkSession, root: str, name: str, schema: StructType | str | None = None, suffix: str = ""
 ) -> DataFrame:
     """Scan a table; a given schema saves the reader from opening files to infer one."""
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -25,7 +25,8 @@ def publish(
 
     Range partitions on month, cluster columns and a row hash are balanced whatever
     the data: a crowded month takes several tasks and a quiet one shares a task, so
-    a task writes few months and a month has few files.
+    a task writes few months and a month has few files. The bounds come from a sample,
+    which reads the input once more: stage an input that is expensive to compute.
     """
     order = [c for c in (partition_by, *cluster_by)]
     (

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+import gridledger.plans.forecasting as plan
 from gridledger import params as P
 from gridledger.params import ForecastParams
 from gridledger.plans import forecast
@@ -118,3 +119,19 @@ def test_row_key_path_gives_the_same_rows(spark):
     calendar = set(ForecastParams(as_of=AS_OF).calendar)
     projected = a.where(F.col("PROIEZIONE_NOTE").isNotNull()).select("DATA_DELIVERY").distinct().collect()
     assert {r.DATA_DELIVERY for r in projected} <= calendar
+
+
+def test_exchanged_nulls_are_two_rows(spark):
+    df = published(spark, [("V", None, 2026, 11, 10)])
+    a = df.withColumn("P_IVA_TITOLARE", F.lit("X")).withColumn("COD_FISC_TITOLARE", F.lit(None).cast("string"))
+    b = df.withColumn("P_IVA_TITOLARE", F.lit(None).cast("string")).withColumn("COD_FISC_TITOLARE", F.lit("X"))
+    both = a.unionByName(b).unionByName(b)
+    base = plan.base_rows(both, ForecastParams(as_of=AS_OF))
+    cell = plan.month_cells(base, ForecastParams(as_of=AS_OF)).collect()
+    assert [(r.VOLUME_DISTINTO, r.VOLUME_COPERTO_MC_MWH) for r in cell] == [(20.0, 30.0)]
+
+
+def test_a_row_key_that_repeats_raises(spark):
+    df = published(spark, [("V", None, 2026, 11, 10)])
+    with pytest.raises(Exception, match="repeated key"):
+        forecast(df.union(df), ForecastParams(as_of=AS_OF, row_key=("ID_DETTAGLIO",)))

@@ -17,6 +17,7 @@ from gridledger.operators import (
     expand_between,
     gap_months,
     keep_extreme,
+    matched,
     merge_update,
     overlay,
     project_on_calendar,
@@ -34,8 +35,8 @@ def rows(df):
 def test_merge_update_keeps_rows_and_ignores_null_keys(spark):
     target = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, v int")
     source = spark.createDataFrame([("a", 10), (None, 30)], "k string, v int")
-    for slots in (1, 4):
-        out = merge_update(target, source, ["k"], {"v": "s__v"}, slots=slots, spread_by=["v"])
+    for split in (False, True):
+        out = merge_update(target, source, ["k"], {"v": "s__v"}, split=split)
         assert rows(out) == rows(spark.createDataFrame([("a", 10), ("b", 2), (None, 3)], "k string, v int"))
 
 
@@ -48,6 +49,14 @@ def test_two_source_rows_for_one_target_raise(spark):
     assert rows(merge_update(unmatched, source, ["k"], {"v": "s__v"})) == [("b", 1)]
 
 
+def test_duplicates_outside_the_condition_are_no_error(spark):
+    target = spark.createDataFrame([("a", 1, "G"), ("b", 2, "E")], "k string, v int, g string")
+    source = spark.createDataFrame([("a", 10), ("a", 11), ("b", 20)], "k string, v int")
+    assert rows(merge_update(target, source, ["k"], {"v": "s__v"}, "g = 'E'")) == [("a", 1, "G"), ("b", 20, "E")]
+    with pytest.raises(Exception, match="several rows"):
+        merge_update(target, source, ["k"], {"v": "s__v"}, "g = 'G'").collect()
+
+
 def test_update_reads_old_values(spark):
     df = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
     assert rows(update_where(df, "true", {"a": "b", "b": "a + b"})) == [(2.0, 3.0)]
@@ -64,7 +73,7 @@ def test_attach_all_keeps_sources_apart(spark):
     target = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
     one = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     two = spark.createDataFrame([("b", 3)], "k string, v int")
-    out = attach_all(target, {"one": one, "two": two}, {"k": "k"}, 4, ["k"])
+    out = attach_all(target, {"one": one, "two": two}, {"k": "k"}, split=True)
     got = rows(out.select("k", "one__v", "one__hit", "two__v", "two__hit"))
     assert got == [("a", 1, True, None, False), ("b", 2, True, 3, True), ("c", None, False, None, False)]
 
@@ -77,7 +86,7 @@ def test_overlapping_versions_raise_only_where_both_hold(spark):
 
     def at(day):
         target = spark.createDataFrame([("a", day)], "k string, d date")
-        return attach_range(target, versions, ["k"], "d", "lo", "hi", "s").where("s__hit").select("s__v").collect()
+        return attach_range(target, versions, ["k"], "d", "lo", "hi", "s").where(matched("s")).select("s__v").collect()
 
     assert at(d(2024, 5, 1))[0][0] == 1
     assert at(d(2024, 7, 1))[0][0] == 2

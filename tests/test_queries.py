@@ -1,21 +1,13 @@
-"""Registered queries against their SQL on the smallest tables.
-
-All of them run with ALL_QUERIES=1, otherwise the pipelines and some others.
-"""
+"""Every registered query against its SQL on the smallest tables."""
 
 import os
 
 import pytest
 from oracle import compare, connect
 
-import __spark_entry__ as entry
+from gridledger.catalog import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-SHORT = (
-    "keys_pipeline", "net_predecessor", "parent_rollup_inherit", "validity_range_lookup", "seller_attributes_range",
-    "count_distinct_over", "master_pipeline", "forecast_pipeline",
-)
-NAMES = list(entry.queries()) if os.environ.get("ALL_QUERIES") else SHORT
 
 
 @pytest.fixture(scope="module")
@@ -23,10 +15,10 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
-    assert compare(entry.queries()[name](spark, SF_DIR), con, entry.oracle_sql()[name]) is None
+    assert compare(QUERIES[name](spark, SF_DIR), con, ORACLES[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
