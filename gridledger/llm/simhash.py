@@ -23,9 +23,10 @@ from gridledger.llm.links import Forest, components
 from gridledger.session import Workspace
 
 SHINGLE, MAX_BITS = 3, 2
-#: Fingerprints a block has at least, and blocks there are at most. The second bounds
-#: what is broadcast: 24 bytes for each block, 1.5 MB in all.
-BLOCK_ROWS, MAX_BLOCKS = 16_384, 65_536
+#: Fingerprints a block should have, and blocks there are at most. The second bounds what is
+#: sent to the tasks: 24 bytes for each block, 1.5 MB in all. The fewer the blocks, the fewer
+#: a fingerprint has to visit; a block is held by one task, at 8 bytes a fingerprint.
+BLOCK_ROWS, MAX_BLOCKS = 65_536, 65_536
 FAN = 16
 #: Queries that go down a tree together.
 ABREAST = 1024
@@ -88,6 +89,18 @@ def gray_rank(fp: Column) -> Column:
     return fp.bitwiseXOR(F.lit(-(1 << 63)).cast("long"))
 
 
+def _place(bounds: list[int]):
+    """Adds the block of each word: how many of the bounds its Gray rank has reached."""
+    reached = np.array(bounds, np.int64)
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.searchsorted(reached, batch.column(1).to_numpy(), side="right")
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), batch.column(0)], ["block", "fp"])
+
+    return each
+
+
 class Tree:
     """Masked bit patterns over a run of words or of patterns, level by level.
 
@@ -204,17 +217,19 @@ def _search_blocks(limit: int):
     return each
 
 
-def links(fps: DataFrame, space: Workspace, limit: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def links(fps: DataFrame, limit: int, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Links ``a``, ``b`` that connect the distinct words ``fp`` just as all pairs at ``limit`` bits do."""
     n = fps.count()
     blocks = max(1, min(MAX_BLOCKS, -(-n // block_rows)))
     rank = gray_rank(F.col("fp"))
-    placed = fps.select("fp").repartitionByRange(blocks, rank).select(F.spark_partition_id().alias("block"), "fp")
-    placed = space.stage(placed, "blocks")
-    # One row a block, MAX_BLOCKS in all.
+    ranked = fps.select("fp", rank.alias("rank"))
+    parts = [i / blocks for i in range(1, blocks)]
+    # MAX_BLOCKS bounds and patterns at most.
+    bounds = ranked.agg(F.percentile_approx("rank", parts, max(10_000, 8 * blocks))).first()[0] if n and parts else []
+    placed = ranked.mapInArrow(_place(bounds), "block int, fp long")
     patterns = placed.groupBy("block").agg(F.bit_and("fp"), F.bit_or("fp")).sort("block").collect()
     if not patterns:
-        return placed.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
+        return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
     visits = placed.mapInArrow(_visits([tuple(p) for p in patterns], limit), "block int, guest boolean, fp long")
     met = visits.repartition(blocks, "block").sortWithinPartitions("block", "guest", rank)
     return met.mapInArrow(_search_blocks(limit), "a long, b long")
@@ -236,7 +251,7 @@ def near_duplicates(
     space = space or Workspace(docs.sparkSession)
     rows = space.stage(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     nodes = space.stage(rows.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
-    found = components(links(nodes, space, max_bits, block_rows), space, "links")
+    found = components(links(nodes, max_bits, block_rows), space, "links")
     rooted = nodes.join(found, nodes.fp == found.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
