@@ -45,13 +45,20 @@ def view(name: str, sql: str) -> str:
     return name
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table or a shared view."""
-    if name in SCHEMAS:
-        return _table(spark, sf_dir, name)
-    sql = VIEWS[name]
-    used = set(re.findall(r"\{(\w+)\}", sql))
-    return spark.sql(sql, **{t: load(spark, sf_dir, t) for t in used})
+def load(spark: SparkSession, sf_dir: str, name: str, known: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A given table or a shared view.
+
+    ``known`` holds what was loaded before, so views that share views build them once.
+    """
+    known = {} if known is None else known
+    if name not in known:
+        if name in SCHEMAS:
+            known[name] = _table(spark, sf_dir, name)
+        else:
+            sql = VIEWS[name]
+            used = sorted(set(re.findall(r"\{(\w+)\}", sql)))
+            known[name] = spark.sql(sql, **{t: load(spark, sf_dir, t, known) for t in used})
+    return known[name]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
