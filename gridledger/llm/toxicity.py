@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 #: Bounds of what the classifier is fitted on: positives, unlabelled texts, features.
-POSITIVES, UNLABELLED, FEATURES = 8000, 24_000, 4000
-#: Texts a feature must be in, of all positives.
-SUPPORT = 0.002
+POSITIVES, UNLABELLED, FEATURES = 4000, 12_000, 800
+#: Part of the positives a feature must be in, and standard errors by which its log odds must differ from 0.
+SUPPORT, ERRORS = 0.002, 2.0
 #: Letters of the word beginnings that are features beside the words.
 STEMS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -53,12 +53,14 @@ def fit_nnpu(
     """
     theta = np.zeros(x.shape[1] + 1)
     theta[-1] = np.log(prior / (1 - prior))
+    x = x.astype(np.float32)
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     xp, xu = x[positive], x[~positive]
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-    gradient = lambda rows, slope: np.append(rows.T @ slope, slope.sum()) / len(rows)
+    linear = lambda rows: rows @ theta[:-1].astype(np.float32) + theta[-1]
+    gradient = lambda rows, slope: np.append(slope.astype(np.float32) @ rows, slope.sum()) / len(rows)
     for t in range(1, epochs + 1):
-        zp, zu = xp @ theta[:-1] + theta[-1], xu @ theta[:-1] + theta[-1]
+        zp, zu = linear(xp), linear(xu)
         clean = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
         clean_slope = gradient(xu, sigmoid(zu)) - prior * gradient(xp, sigmoid(zp))
         # Logistic loss of a positive: its slope is sigmoid(z) - 1.
@@ -85,8 +87,8 @@ def _vocabulary(rows: DataFrame, positives: int, unlabelled: int, most: int) ->
     rate_p, rate_u = (p + 0.5) / (positives + 1), (u + 0.5) / (unlabelled + 1)
     tells = (
         rows.mapInArrow(each, "name string, positive boolean").groupBy("name")
-        .agg(p.alias("p"), u.alias("u"), (F.sqrt(rate_p) * F.abs(F.log(rate_p / rate_u))).alias("tells"))
-        .where((F.col("p") >= max(2, SUPPORT * positives)))
+        .agg(p.alias("p"), u.alias("u"), (F.abs(F.log(rate_p / rate_u)) / F.sqrt(1 / (p + 0.5) + 1 / (u + 0.5))).alias("tells"))
+        .where((F.col("p") >= max(2, SUPPORT * positives)) & (F.col("tells") >= ERRORS))
     )
     return [r.name for r in tells.orderBy(F.desc("tells"), "name").select("name").limit(most).collect()]
 
