@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 #: Order of the model, weight of the shorter context in tokens, bytes of text of a block, and
 #: n-grams of a shard. Larger blocks and shards take more memory and fewer, larger messages.
-ORDER, MU, BLOCK_BYTES, SHARD_GRAMS = 2, 200.0, 24_000_000, 4_000_000
+ORDER, MU, BLOCK_BYTES, SHARD_GRAMS = 2, 200.0, 10_000_000, 4_000_000
 #: Tokens beyond the words: hashes of the start and of the end of a text.
 _START, _END = np.uint64(1), np.uint64(2)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -77,12 +77,17 @@ class Block:
         return out
 
     def distinct(self, train: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        """Sorted distinct n-grams of all orders, their training counts, and each place's n-grams among them."""
+        """Sorted distinct n-grams of all orders, their training counts, and each place's n-grams among them.
+
+        The n-grams are let go.
+        """
+        order = len(self.grams)
         every = np.concatenate([g ^ np.uint64(k << 60) for k, g in enumerate(self.grams)])
+        self.grams.clear()
         keys, place = np.unique(every, return_inverse=True)
-        counted = np.tile(np.repeat(train, self.lengths), len(self.grams))
+        counted = np.tile(np.repeat(train, self.lengths), order)
         counts = np.bincount(place[counted], minlength=len(keys))
-        return keys, counts, np.split(place, len(self.grams))
+        return keys, counts, np.split(place, order)
 
 
 def _pack(x: np.ndarray) -> bytes:
