@@ -1,10 +1,11 @@
 """Byte-level BPE with a rank queue of hierarchical bitmaps.
 
 The symbols of a pre-token form a doubly linked list. Each merge rank that some neighbouring
-pair has owns a bucket of list positions; three levels of 64-bit words mark the ranks whose
-buckets aren't empty, so the lowest rank is three find-first-set steps away. A popped position
+pair has owns a bucket of list positions; two levels of 256-bit words mark the ranks whose
+buckets aren't empty, so the lowest rank is two find-first-set steps away. A popped position
 whose pair has changed meanwhile is stale and skipped. The work is proportional to the length
-of the pre-token, however long it is.
+of the pre-token, however long it is. Many short pre-tokens share one queue: their symbols lie
+in one list that is cut between them.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 import regex
@@ -21,54 +23,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-#: Pieces of text whose ids a worker remembers; longer pieces are not remembered.
-REMEMBERED, LONGEST = 300_000, 64
+#: Pieces of text whose ids a worker remembers, at some 300 bytes each, and the longest of them.
+REMEMBERED, LONGEST = 1_200_000, 64
+#: Characters of the texts that are encoded together.
+TOGETHER = 1 << 21
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _WIDE = re.compile(r"\s\s")
 
 
-class RankQueue:
-    """Ranks below 64**3 with the list positions that wait at each, lowest rank first, then leftmost."""
-
-    def __init__(self):
-        self.words = [0] * 4096
-        self.groups = [0] * 64
-        self.top = 0
-        self.buckets: dict[int, list[int]] = {}
-        self.unsorted: set[int] = set()
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is None:
-            self.buckets[rank] = [position]
-            self.words[rank >> 6] |= 1 << (rank & 63)
-            self.groups[rank >> 12] |= 1 << (rank >> 6 & 63)
-            self.top |= 1 << (rank >> 12)
-        else:
-            if position < bucket[-1]:
-                self.unsorted.add(rank)
-            bucket.append(position)
-
-    def pop(self) -> tuple[int, list[int]] | None:
-        """The lowest rank and its positions from left to right."""
-        if not self.top:
-            return None
-        g = (self.top & -self.top).bit_length() - 1
-        w = g << 6 | (self.groups[g] & -self.groups[g]).bit_length() - 1
-        rank = w << 6 | (self.words[w] & -self.words[w]).bit_length() - 1
-        self.words[w] &= self.words[w] - 1
-        if not self.words[w]:
-            self.groups[g] &= self.groups[g] - 1
-            if not self.groups[g]:
-                self.top &= self.top - 1
-        bucket = self.buckets.pop(rank)
-        if rank in self.unsorted:
-            self.unsorted.discard(rank)
-            bucket.sort()
-        return rank, bucket
-
-
 class Codec:
     """Encoder and decoder for a rank file and a pre-token pattern."""
 
@@ -84,86 +47,138 @@ class Codec:
                 left, right = self.ranks.get(token[:i]), self.ranks.get(token[i:])
                 if left is not None and right is not None:
                     self.pairs[left, right] = rank
-        self.queue = RankQueue()
+        # Bits of the ranks that have a bucket, 256 a word; they are all zero between pre-tokens.
+        self.words = [0] * (max(self.bytes) // 256 + 1)
+        # Results by piece of text: number of ids, the ids, the bytes they decode to. There are
+        # two generations, of which the older one is dropped whole.
         self.fresh: dict[str, tuple[int, str, bytes]] = {}
         self.older: dict[str, tuple[int, str, bytes]] = {}
-
-    def merge(self, token: bytes) -> list[int]:
-        """Ids of one pre-token."""
-        whole = self.ranks.get(token)
-        if whole is not None:
-            return [whole]
-        n, pairs, queue = len(token), self.pairs, self.queue
-        ids = [self.single[b] for b in token]
+        # Pieces that are forgotten once their texts are done.
+        self.long: list[str] = []
+
+    def merge(self, tokens: list[bytes]) -> list[list[int]]:
+        """Ids of pre-tokens: the pair of lowest rank merges first, of equal ones the leftmost."""
+        data = b"".join(tokens)
+        n, rank_of, words = len(data), self.pairs.get, self.words
+        ids = list(map(self.single.__getitem__, data))
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        for i in range(n - 1):
-            rank = pairs.get((ids[i], ids[i + 1]))
-            if rank is not None:
-                queue.push(rank, i)
-        while (least := queue.pop()) is not None:
-            rank, bucket = least
+        pairs = list(map(rank_of, zip(ids, ids[1:], strict=False)))
+        ends = list(accumulate(map(len, tokens)))
+        for end in ends[:-1]:
+            after[end - 1], before[end], pairs[end - 1] = n, -1, None
+        buckets: dict[int, list[int]] = {}
+        # Bits of the words that have a bit.
+        top = 0
+        for i, rank in enumerate(pairs):
+            if rank in buckets:
+                buckets[rank].append(i)
+            elif rank is not None:
+                buckets[rank] = [i]
+                words[rank >> 8] |= 1 << (rank & 255)
+                top |= 1 << (rank >> 8)
+        while top:
+            w = (top & -top).bit_length() - 1
+            word = words[w]
+            rank = w << 8 | (word & -word).bit_length() - 1
+            word &= word - 1
+            words[w] = word
+            if not word:
+                top &= top - 1
+            bucket = buckets.pop(rank)
+            if len(bucket) > 1:
+                bucket.sort()
             for at, i in enumerate(bucket):
                 j = after[i]
                 # Stale: i has been merged away or is followed by another symbol now.
-                if ids[i] < 0 or j >= n or pairs.get((ids[i], ids[j])) != rank:
+                if ids[i] < 0 or j >= n or rank_of((ids[i], ids[j])) != rank:
                     continue
-                k = after[j]
+                k, h = after[j], before[i]
                 ids[i], ids[j], after[i] = rank, -1, k
-                lower = False
+                right = left = None
                 if k < n:
                     before[k] = i
-                    new = pairs.get((rank, ids[k]))
-                    if new is not None:
-                        queue.push(new, i)
-                        lower = new <= rank
-                h = before[i]
+                    right = rank_of((rank, ids[k]))
                 if h >= 0:
-                    new = pairs.get((ids[h], rank))
+                    left = rank_of((ids[h], rank))
+                again = False
+                for new, place in ((right, i), (left, h)):
                     if new is not None:
-                        queue.push(new, h)
-                        lower = lower or new <= rank
-                if lower and at + 1 < len(bucket):
-                    # The queue has a better pair than the rest of this bucket.
-                    for later in bucket[at + 1 :]:
-                        queue.push(rank, later)
+                        again = again or new < rank
+                        if new in buckets:
+                            buckets[new].append(place)
+                        else:
+                            buckets[new] = [place]
+                            words[new >> 8] |= 1 << (new & 255)
+                            top |= 1 << (new >> 8)
+                if again and at + 1 < len(bucket):
+                    # A new pair comes before the rest of this bucket, which waits again.
+                    buckets[rank] = bucket[at + 1 :]
+                    words[rank >> 8] |= 1 << (rank & 255)
+                    top |= 1 << (rank >> 8)
                     break
-        return [x for x in ids if x >= 0]
-
-    def _piece(self, piece: str) -> tuple[int, str, bytes]:
-        """Number of ids, the ids and the decoded bytes of a piece that is cut at pre-token borders."""
-        ids: list[int] = []
-        for token in self.pattern.findall(piece):
-            ids += self.merge(token.encode())
-        return len(ids), " ".join(map(str, ids)), self.decode(ids)
-
-    def _remembered(self, piece: str) -> tuple[int, str, bytes]:
-        """A piece's result; two generations of results, of which the older one is dropped whole."""
-        made = self.older.get(piece) or self._piece(piece)
-        if len(piece) <= LONGEST:
-            if len(self.fresh) >= REMEMBERED // 2:
-                self.older, self.fresh = self.fresh, {}
-            self.fresh[piece] = made
-        return made
-
-    def pieces(self, text: str) -> Iterator[tuple[int, str, bytes]]:
-        """Results of the parts of a text between single spaces.
+        return [[x for x in ids[i:j] if x >= 0] for i, j in zip([0, *ends], ends, strict=False)]
+
+    def parts(self, text: str) -> list[str]:
+        """A text cut before the single spaces in it.
 
         A space between two other characters that aren't white space starts a pre-token
         whatever surrounds it, so the parts can be encoded apart from one another.
         """
         if not text:
-            return
-        if _WIDE.search(text) or text[0].isspace() or text[-1].isspace():
-            first, *rest = _CUT.split(text)
-        else:
-            first, *rest = text.split(" ")
-        yield self._piece(first)
-        for part in rest:
-            part = " " + part
-            yield self.fresh.get(part) or self._remembered(part)
+            return []
+        plain = not (_WIDE.search(text) or text[0].isspace() or text[-1].isspace())
+        first, *rest = text.split(" ") if plain else _CUT.split(text)
+        return [first, *map(" ".__add__, rest)]
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Put the results of all pieces into the fresh generation."""
+        if len(self.fresh) >= REMEMBERED // 2:
+            self.older, self.fresh = self.fresh, {}
+        fresh, older = self.fresh, self.older
+        new = []
+        for piece in pieces.difference(fresh):
+            made = older.get(piece)
+            if made is None:
+                new.append(piece)
+            else:
+                fresh[piece] = made
+        split = list(map(self.pattern.findall, new))
+        unknown = [t for t in {t for tokens in split for t in tokens}.difference(fresh) if t not in older]
+        encoded = [t.encode() for t in unknown]
+        merged = iter(self.merge([t for t in encoded if t not in self.ranks]))
+        for token, data in zip(unknown, encoded, strict=True):
+            # A pre-token that is a token is never merged.
+            ids = [self.ranks[data]] if data in self.ranks else next(merged)
+            fresh[token] = len(ids), " ".join(map(str, ids)), self.decode(ids)
+        for piece, tokens in zip(new, split, strict=True):
+            if piece not in fresh:
+                counts, ids, data = zip(*(fresh.get(t) or older[t] for t in tokens), strict=True)
+                fresh[piece] = sum(counts), " ".join(ids), b"".join(data)
+        self.long = [p for p in {*new, *unknown} if len(p) > LONGEST]
+
+    def results(self, texts: list[str | None]) -> Iterator[tuple[int, str, bytes]]:
+        """For each text the number of its ids, the ids, and the bytes they decode to."""
+        start = 0
+        while start < len(texts):
+            stop, size = start, 0
+            while stop < len(texts) and (stop == start or size < TOGETHER):
+                size += len(texts[stop] or "")
+                stop += 1
+            cut = [self.parts(text or "") for text in texts[start:stop]]
+            pieces = {piece for parts in cut for piece in parts}
+            self._learn(pieces)
+            for parts in cut:
+                if parts:
+                    counts, ids, data = zip(*map(self.fresh.__getitem__, parts), strict=True)
+                    yield sum(counts), " ".join(ids), b"".join(data)
+                else:
+                    yield 0, "", b""
+            for piece in self.long:
+                del self.fresh[piece]
+            start = stop
 
     def encode(self, text: str | None) -> list[int]:
-        return [int(i) for _, ids, _ in self.pieces(text or "") for i in ids.split()]
+        return list(map(int, next(self.results([text]))[1].split()))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
@@ -187,7 +202,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", nam
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for batch in batches:
-            ids = pa.array([own.encode(t.as_py()) for t in batch.column(at)], pa.list_(pa.int32()))
+            found = own.results(batch.column(at).to_pylist())
+            ids = pa.array([list(map(int, ids.split())) for _, ids, _ in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, name])
 
     return docs.mapInArrow(each, StructType([*docs.schema, StructField(name, ArrayType(IntegerType()))]))
@@ -221,11 +237,10 @@ def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
         own = codec(path, pattern)
         for batch in batches:
             counts, ids, decoded = [], [], []
-            for text in batch.column(1):
-                parts = list(own.pieces(text.as_py() or ""))
-                counts.append(sum(p[0] for p in parts))
-                ids.append(sha(" ".join(p[1] for p in parts).encode()))
-                decoded.append(sha(b"".join(p[2] for p in parts)))
+            for n, text_ids, data in own.results(batch.column(1).to_pylist()):
+                counts.append(n)
+                ids.append(sha(text_ids.encode()))
+                decoded.append(sha(data))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
                 ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
