@@ -1,9 +1,9 @@
 """Near-duplicate vectors: spherical k-means cells, and blocked cosines within a cell.
 
-The cells make no pair get lost. If x and y are at most an angle t apart and x lives in cell
-c, then y's angle to c's centre is at most its angle to its own centre plus 2 t. So a vector
-also visits, as a guest, every cell within that distance whose number is below its own
-cell's: each pair meets in exactly one cell, that of the lower number.
+The cells make no pair get lost. Cells c and h are parted by the plane halfway between their
+centres. If x lives in c and y in h, at most an angle t apart, then y is at most t away from
+that plane. So a vector also visits, as a guest, every cell beyond a plane so near whose
+number is below its own cell's: each pair meets in exactly one cell, that of the lower number.
 """
 
 from __future__ import annotations
@@ -45,7 +45,8 @@ def fit_centres(sample: np.ndarray, cells: int, rounds: int = ROUNDS) -> np.ndar
 
 def _assign(centres: dict[int, np.ndarray], cosine: float):
     """Adds the cell and whether the vector is a guest there; a length that wasn't sampled is one cell."""
-    reach = 2 * np.arccos(cosine) + 1e-6
+    reach = np.sqrt(1 - cosine * cosine) if cosine >= 0 else 1.0
+    apart = {w: np.sqrt(np.maximum(0, 2 - 2 * at @ at.T)) for w, at in centres.items()}
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -56,10 +57,10 @@ def _assign(centres: dict[int, np.ndarray], cosine: float):
                 if at is None:
                     row, cell, guest = np.arange(len(part)), np.zeros(len(part), np.int32), np.zeros(len(part), bool)
                 else:
-                    angle = np.arccos(np.clip(_unit(matrix(part.column("vector"), width)) @ at.T, -1, 1))
-                    home = np.argmin(angle, axis=1)
-                    limit = angle[np.arange(len(home)), home] + reach
-                    near = angle <= limit[:, None]
+                    close = _unit(matrix(part.column("vector"), width)) @ at.T
+                    home = np.argmax(close, axis=1)
+                    behind = close[np.arange(len(home)), home][:, None] - close
+                    near = behind <= reach * apart[int(width)][home] + 1e-9
                     near &= np.arange(len(at))[None, :] <= home[:, None]
                     row, cell = np.nonzero(near)
                     guest = cell != home[row]
