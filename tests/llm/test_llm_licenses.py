@@ -54,6 +54,28 @@ def test_notices_by_diagonals(spark):
     assert sum(p.label == "gpl-3.0" for p in got[4].places) == 3
 
 
+def test_notices_that_differ_in_the_word_that_tells(spark):
+    gpl = "This is licensed under the GNU {}General Public License, version {}. And more."
+    published = "under the terms of the GNU {}General Public License as published by the Free Software Foundation"
+    cases = [
+        (gpl.format("", 3), ["gpl", "gpl-3.0"]), (gpl.format("", 2), ["gpl", "gpl-2.0"]), (gpl.format("", 1), ["gpl"]),
+        (gpl.format("", "2.0"), ["gpl", "gpl-2.0"]), (gpl.format("Lesser ", 3), ["gpl"]), (gpl.format("Affero ", 3), ["gpl"]),
+        ("licensed under the new gnu general public license version 3", ["gpl", "gpl-3.0"]),
+        (gpl.format("", "2 or version 3"), ["gpl", "gpl-2.0", "gpl-3.0"]),
+        ("The lesser affero apache. " + gpl.format("", 3), ["gpl", "gpl-3.0"]),
+        (published.format(""), ["gpl"]), (published.format("Lesser "), ["gpl", "lgpl"]), (published.format("Library "), ["gpl", "lgpl"]),
+        ("subject to the terms of the Mozilla Public License, v. 2.0", ["mpl-2.0"]),
+        ("subject to the terms of the Mozilla Public License, v. 1.1", []),
+        ("subject to the terms of the Netscape Public License, v. 2.0", []),
+        ("Licensed under the Apache License, Version 2.1", []),
+        ("Licensed under CC BY-NC-SA 4.0", ["cc-by"]), ("Licensed under CC BY-SA 4.0", ["cc-by", "cc-by-sa"]),
+        ("licensed under the creative commons attribution noncommercial sharealike license", []),
+        ("Redistribution and use of the library in source and binary forms, with or without modification, are permitted", ["bsd"]),
+    ]
+    got = scan(spark, [t for t, _ in cases])
+    assert [(t, sorted({p.label for p in got[i].places})) for i, (t, _) in enumerate(cases)] == cases
+
+
 def test_rows(spark):
     docs = messy.documents(spark)
     got = licenses.scan_licenses(docs, keep=["doc_id", "text", "row", "words", "n_chars"]).collect()
