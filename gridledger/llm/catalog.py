@@ -137,8 +137,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of ten words or more that an earlier document, or line, has already."""
-    return passages.repeated_passages(_table(spark, sf_dir, "documents"))
+    """Lines that an earlier document, or line, has already."""
+    return passages.repeated_passages(_table(spark, sf_dir, "documents"), min_words=1)
 
 
 @_query

@@ -1,6 +1,6 @@
 import messy
 
-from gridledger.llm import passages
+from gridledger.llm import catalog, passages
 
 
 def plain(rows, min_words):
@@ -35,6 +35,13 @@ def test_given_documents(spark):
     assert sorted(map(tuple, got)) == sorted(plain(docs.collect(), passages.MIN_WORDS)) and got
 
 
+def test_query_takes_short_lines(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    got = catalog.QUERIES["op9_passages"](spark, "/root/testdata/sf0.001").collect()
+    assert any(r.n_words < passages.MIN_WORDS for r in got)
+    assert sorted(map(tuple, got)) == sorted(plain(docs.collect(), 1))
+
+
 def test_removal(spark):
     line = " ".join(f"w{i}" for i in range(12))
     rows = [(1, f"first\n{line}\nlast"), (2, f"{line.upper()}\n\nother\n{line}"), (3, "none"), (4, None)]
