@@ -67,6 +67,35 @@ def test_deviation_is_less_than_a_block_until_a_source_runs_out(spark):
         assert slots == sorted(slots)
 
 
+def worst_lag(blocks, target):
+    """Largest deviation from the exact target until the first source runs out, over whole weights of it."""
+    weights = mixing.whole_weights(target, {s: n * mixing.BLOCK_ROWS for s, n in blocks.items()})
+    total, taken, worst = sum(weights.values()), Counter(), 0
+    order = mixing.schedule(blocks, weights)
+    for t, (s, j) in enumerate(order, 1):
+        taken[s] += 1
+        # A source's lag is largest when it has just taken a slot, or just before it does.
+        worst = max(worst, taken[s] - t * weights[s] / total, (t - 1) * weights[s] / total - (taken[s] - 1))
+        if j + 1 == blocks[s]:
+            return worst, t, taken, {s: w / total for s, w in weights.items()}
+
+
+def test_no_rounding_of_targets():
+    blocks = {0: 15_625} | {i: 1_563 for i in range(1, 21)}
+    worst, slots, _, share = worst_lag(blocks, {})
+    assert worst < 1 and slots > 10_000 and abs(share[0] - 10 / (10 + 20 * 10**0.5)) < 1e-4
+    worst, _, taken, share = worst_lag({i: 3_000 if i == 0 else 5 for i in range(4_001)}, {i: 0.5 if i == 0 else 0.5 / 4_000 for i in range(4_001)})
+    assert worst < 1 and abs(taken[0] / taken.total() - 0.5) < 1e-3
+    worst, slots, taken, _ = worst_lag({0: 40_000, 1: 40}, {0: 0.9999, 1: 0.0001})
+    assert worst < 1 and taken[1] in (3, 4, 5) and slots >= 40_000
+
+
+def test_small_weights_reach_the_rows(spark):
+    got, _ = mixed(spark, {"a": 0.9997, "b": 0.0003}, {"a": 6_000, "b": 5}, block_rows=1, run_rows=512)
+    assert sorted(r.mix_slot for r in got) == list(range(6_005))
+    assert sum(r.source == "b" for r in got if r.mix_slot < 5_000) in (1, 2)
+
+
 def test_places_and_repeats(spark):
     got, _ = mixed(spark, None, {"a": 130, "b": 65}, block_rows=64, run_rows=32)
     for s, n in (("a", 130), ("b", 65)):
