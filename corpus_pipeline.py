@@ -23,15 +23,18 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id.
+    """Of each group of near-duplicates one row, that of the smallest id; without any id, one of its rows.
 
-    Rows that repeat that id all stay, and so do rows without an id in a group without ids.
+    Rows are told apart by a number in a written table, so of rows that repeat an id one stays too.
     """
-    prepare(spark)
-    groups = simhash.near_duplicates(docs)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    kept = Workspace(spark).stage(kept, "kept")
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    space = Workspace(prepare(spark))
+    numbered = space.stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    # Groups are named by their smallest row number, which is never null.
+    groups = simhash.near_duplicates(numbered, "_row", space=space)
+    named = groups.select("_row", F.col("component_id").alias("_group")).join(numbered.select("_row", "doc_id"), "_row")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row"))
+    kept = space.stage(named.groupBy("_group").agg(least.alias("least")).select(F.col("least._row").alias("_row")), "kept")
+    return numbered.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,3 +69,13 @@ def test_mixing_keeps_all_and_tokens_decode(steps):
 def test_run_is_the_stages(spark, steps):
     got = corpus_pipeline.run(spark, PATH).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, steps[5].collect()))
+
+
+def test_one_row_of_each_group_stays(spark):
+    words = [f"w{i}" for i in range(200)]
+    one, two, three = (" ".join(words[i : i + 60]) for i in (0, 60, 120))
+    rows = [(5, one), (5, one), (6, one), (None, one), (None, two), (None, two), (5, three), (4, three), (4, three), (None, None), (9, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.keep_distinct(spark, docs.repartition(3), PATH)
+    assert got.columns == docs.columns
+    assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, [(5, one), (None, two), (4, three), (9, None)]))
