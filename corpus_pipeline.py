@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,10 +56,33 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.repartitionByRange(*slot).sortWithinPartitions(*slot).select(*docs.columns)
 
 
+def place_in(docs: DataFrame) -> DataFrame:
+    """Rows read from Parquet files that Spark wrote, with ``mix_order``: how many were written before the row.
+
+    Part files are ordered by their numbers, rows by their place in the file.
+    """
+    sizes = docs.select(F.col("_metadata.file_name").alias("file")).groupBy("file").count().collect()
+    parts = [(*re.match(r"part-(\d+).*?(?:-c(\d+))?\.", r.file).groups("0"), r) for r in sizes]
+    starts, before = [], 0
+    for _, _, r in sorted(parts, key=lambda p: (int(p[0]), int(p[1]))):
+        starts.append((r.file, before))
+        before += r["count"]
+    # One row a file.
+    starts = docs.sparkSession.createDataFrame(starts, "_file string, _before long")
+    placed = docs.select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at")).join(F.broadcast(starts), "_file")
+    return placed.select(*docs.columns, (F.col("_before") + F.col("_at")).alias("mix_order"))
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Digests of each document's token ids and of what they decode to."""
+    """Digests of each document's token ids and of what they decode to, with its place in the mixture's order.
+
+    ``docs`` is read from the files of the former stage, which hold that order.
+    """
     prepare(spark)
-    return bpe.digests(docs, str(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    placed = place_in(docs).withColumn("doc_id", F.struct("doc_id", "mix_order"))
+    found = bpe.digests(placed, str(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    rest = [c for c in found.columns if c != "doc_id"]
+    return found.select(F.col("doc_id.doc_id").alias("doc_id"), *rest, F.col("doc_id.mix_order").alias("mix_order"))
 
 
 STAGES = [

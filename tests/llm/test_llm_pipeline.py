@@ -1,11 +1,12 @@
 import hashlib
 import itertools
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from gridledger.llm import simhash
+from gridledger.llm import mixing, simhash
 
 PATH = "/root/testdata/sf0.001"
 
@@ -79,3 +80,30 @@ def test_one_row_of_each_group_stays(spark):
     got = corpus_pipeline.keep_distinct(spark, docs.repartition(3), PATH)
     assert got.columns == docs.columns
     assert sorted(map(str, ((r.doc_id, r.text) for r in got.collect()))) == sorted(map(str, [(5, one), (None, two), (4, three), (9, None)]))
+
+
+def test_result_has_the_order_of_the_mixture(spark, tmp_path):
+    names = ["b", "a", "a", "c", "a", "b", "a"]
+    docs = spark.range(5000).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang", "0L AS n_chars").withColumn(
+        "source", F.element_at(F.array(*map(F.lit, names)), (F.col("doc_id") % 7 + 1).cast("int")))
+    mixed = corpus_pipeline.mix(spark, docs.select("doc_id", "text", "lang", "source", "n_chars"), PATH)
+    mixed.write.option("maxRecordsPerFile", 700).parquet(f"{tmp_path}/mixed")
+    read = spark.read.parquet(f"{tmp_path}/mixed")
+    assert len(read.inputFiles()) > 4
+    got = {r.mix_order: r.doc_id for r in corpus_pipeline.tokens(spark, read, PATH).collect()}
+    assert sorted(got) == list(range(5000)) and sorted(got.values()) == list(range(5000))
+    sizes = Counter(names[i % 7] for i in range(5000))
+    weights = {s: n**0.5 / sum(m**0.5 for m in sizes.values()) for s, n in sizes.items()}
+    order, taken = [names[got[i] % 7] for i in range(5000)], Counter()
+    for t, s in enumerate(order, 1):
+        taken[s] += 1
+        if taken[s] == sizes[s]:
+            break
+        if t % mixing.BLOCK_ROWS == 0:
+            assert all(abs(taken[x] - w * t) < mixing.BLOCK_ROWS for x, w in weights.items())
+    assert t > 20 * mixing.BLOCK_ROWS
+
+
+def test_run_has_the_order(spark, steps):
+    rows = corpus_pipeline.run(spark, PATH).collect()
+    assert sorted(r.mix_order for r in rows) == list(range(steps[4].count()))
