@@ -116,9 +116,7 @@ def validity_range_lookup(spark, sf_dir):
     parts = load(spark, sf_dir, "part").select("p_partkey", "p_brand")
     rows = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
     versions = load(spark, sf_dir, "brand_versions")
-    out = range_lookup(
-        rows, versions, {"brand": "p_brand"}, F.to_date("l_shipdate"), "DAL", "AL", "v", 4, ["l_orderkey", "l_linenumber"]
-    )
+    out = range_lookup(rows, versions, {"brand": "p_brand"}, F.to_date("l_shipdate"), "DAL", "AL", "v", split=True)
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", F.col("v__coeff").alias("coeff"))
 
 

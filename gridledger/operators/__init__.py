@@ -1,11 +1,11 @@
 from gridledger.operators.checks import assert_unique, control_total, diff_tables
+from gridledger.operators.intervals import attach_range, interval_index, range_lookup
 from gridledger.operators.joins import (
     anti_join,
     cascade_lookup,
     exact_or_wildcard,
     filter_pairs,
     lookup,
-    range_lookup,
     spread_join,
 )
 from gridledger.operators.months import (
@@ -24,7 +24,6 @@ from gridledger.operators.updates import (
     assign,
     attach,
     attach_all,
-    attach_range,
     delete_matching,
     detach,
     keep_matching,
@@ -45,6 +44,6 @@ __all__ = [
     "anti_join", "append_common", "append_mapped", "assert_unique", "assign", "attach", "attach_all", "attach_range",
     "calendar_frame", "cascade_lookup", "control_total", "count_distinct_over", "delete_matching", "detach",
     "diff_tables", "exact_or_wildcard", "expand_between", "fill_last", "filter_pairs", "gap_months",
-    "intersect_distinct", "keep_extreme", "keep_matching", "lookup", "matched", "merge_update", "overlay",
+    "intersect_distinct", "interval_index", "keep_extreme", "keep_matching", "lookup", "matched", "merge_update", "overlay",
     "project_on_calendar", "qualify", "range_lookup", "spread_join", "top1", "union_distinct", "update_where",
 ]

@@ -67,22 +67,6 @@ def lookup(
     return _joined(df, dim, as_, _pairs(on), None, split)
 
 
-def range_lookup(
-    df: DataFrame,
-    dim: DataFrame,
-    on: Keys,
-    date: Column | str,
-    lo: str,
-    hi: str,
-    as_: str,
-    split: bool = False,
-) -> DataFrame:
-    """Left join on a key and a validity range; every valid version matches."""
-    day = F.col(date) if isinstance(date, str) else date
-    extra = day.between(F.col(f"{as_}__{lo}"), F.col(f"{as_}__{hi}"))
-    return _joined(df, dim, as_, _pairs(on), extra, split)
-
-
 def cascade_lookup(
     df: DataFrame,
     steps: Sequence[tuple[DataFrame, Keys, str]],

@@ -14,7 +14,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 Keys = Sequence[str] | Mapping[str, "Column | str"]
 
@@ -59,12 +58,15 @@ def _join_prefixed(target, side, keys, extra, split):
 
 
 def _one_each(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per non-null key, and ``_many`` where the source has several."""
+    """One row per non-null key, and ``_many`` where the source has several.
+
+    One aggregate, combined before the shuffle, so copies of a key never meet in one sorted
+    group. With numbers and dates as values it is a hash aggregate; texts make Spark sort.
+    Values of a repeated key are of no use, since an update that reads them raises.
+    """
     usable = source.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    own = Window.partitionBy(*keys).orderBy(*keys)
-    whole = own.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    marked = usable.withColumns({"_place": F.row_number().over(own), "_many": F.count(F.lit(1)).over(whole) > 1})
-    return marked.where("_place = 1").drop("_place")
+    values = [F.first(c).alias(c) for c in source.columns if c not in keys]
+    return usable.groupBy(*keys).agg(*values, (F.count(F.lit(1)) > 1).alias("_many"))
 
 
 def matched(as_: str, when: Column | str | None = None) -> Column:
@@ -123,30 +125,6 @@ def attach_all(
     return reduce(_flagged, sources, out.drop(*[f"_q_{k}" for k in keys]))
 
 
-def attach_range(
-    target: DataFrame, source: DataFrame, on: Keys, date: Column | str, lo: str, hi: str, as_: str, split: bool = False
-) -> DataFrame:
-    """``attach`` to the source version whose ``[lo, hi]`` holds the target date.
-
-    Overlapping versions are ambiguous only for a date that really falls in two: the
-    later version of the pair starts before the highest end seen so far. Such a row
-    comes once per version, so its update must be unconditional and raise.
-    """
-    keys = _pairs(on)
-    usable = source.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    earlier = Window.partitionBy(*keys).orderBy(lo, hi).rowsBetween(Window.unboundedPreceding, -1)
-    versions = usable.withColumn("_until", F.max(hi).over(earlier))
-    day = F.col(date) if isinstance(date, str) else date
-    extra = day.between(F.col(f"{as_}__{lo}"), F.col(f"{as_}__{hi}"))
-    out = _joined(target, versions, as_, keys, extra, split)
-    return out.withColumns(
-        {
-            f"{as_}__hit": F.col(f"{as_}__{lo}").isNotNull(),
-            f"{as_}__many": F.coalesce(day <= F.col(f"{as_}___until"), F.lit(False)),
-        }
-    )
-
-
 def detach(df: DataFrame, *names: str) -> DataFrame:
     """Drop the columns of attached sources."""
     return df.drop(*[c for c in df.columns if any(c.startswith(f"{n}__") for n in names)])

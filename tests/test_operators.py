@@ -1,6 +1,7 @@
 """Row updates, lookups, windows and sources on small tables."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from gridledger.operators import (
     merge_update,
     overlay,
     project_on_calendar,
+    range_lookup,
     spread_join,
     top1,
     update_where,
@@ -95,6 +97,31 @@ def test_overlapping_versions_raise_only_where_both_hold(spark):
         at(d(2024, 6, 15))
 
 
+def test_range_lookup_finds_every_version_that_holds_the_date(spark):
+    start, rng = dt.date(2020, 1, 1), random.Random(3)
+    versions = [(None, start, start, 1), ("a", None, start, 2), ("a", start + dt.timedelta(9), start, 3)]
+    for key, count, longest in (("a", 1, 0), ("b", 7, 5), ("c", 40, 15), ("overlapping", 12, 30)):
+        at = 0
+        for i in range(count):
+            lo = at + rng.randint(0, 20)
+            hi = lo + rng.randint(0, longest)
+            at = lo if key == "overlapping" else hi + 1
+            versions.append((key, start + dt.timedelta(lo), start + dt.timedelta(hi), i))
+    days = [None if i % 50 == 0 else start + dt.timedelta(rng.randint(-5, 500)) for i in range(600)]
+    target = [(rng.choice(["a", "b", "c", "overlapping", "z", None]), day, i) for i, day in enumerate(days)]
+    expected = []
+    for key, day, i in target:
+        held = [v for k, lo, hi, v in versions if key is not None and k == key and lo and day and lo <= day <= hi]
+        expected += [(i, v) for v in held] or [(i, None)]
+    left = spark.createDataFrame(target, "k string, d date, i int")
+    right = spark.createDataFrame(versions, "k string, lo date, hi date, v int")
+    for split in (False, True):
+        assert rows(range_lookup(left, right, ["k"], "d", "lo", "hi", "s", split).select("i", "s__v")) == sorted(expected, key=str)
+    assert rows(range_lookup(left, right.limit(0), ["k"], "d", "lo", "hi", "s").select("i", "s__v")) == sorted(
+        [(i, None) for i in range(600)], key=str
+    )
+
+
 def test_spread_join_splits_hot_keys_and_keeps_all_rows(spark):
     left = spark.range(200).select(
         F.when(F.col("id") < 120, "hot").when(F.col("id") < 150, F.lit(None)).otherwise(F.col("id").cast("string")).alias("k"), "id"
