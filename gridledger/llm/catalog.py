@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridledger.llm import backoff, bpe, cells, licenses, mixing, passages, personal, simhash, topk, toxicity
+from gridledger.llm import (
+    backoff,
+    bpe,
+    cells,
+    licenses,
+    mining,
+    mixing,
+    passages,
+    periods,
+    personal,
+    quality,
+    simhash,
+    topk,
+    toxicity,
+)
 from gridledger.session import tune
 from gridledger.sources import read_table
 
@@ -146,3 +160,145 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's token ids and of the bytes they decode to."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.digests(_table(spark, sf_dir, "documents"), str(path), public_tokenizers.PATTERN)
+
+
+@_query
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length and repetition measures of every document, and the verdict of the rules."""
+    return quality.judge(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _breaks(rules) -> str:
+    """A row of measures breaks one of the rules, in SQL."""
+    out = []
+    for rule in rules:
+        per = f"CAST({rule.per} AS DOUBLE)" if rule.per else "CAST(1 AS DOUBLE)"
+        out += [f"CAST({rule.measure} AS DOUBLE) {sign} {per} * CAST({bound} AS DOUBLE)"
+                for sign, bound in (("<", rule.low), (">", rule.high)) if bound is not None]
+    return "(" + " OR ".join(out) + ")"
+
+
+_STOPS = ", ".join(f"'{w}'" for w in quality.STOP_WORDS)
+ORACLES["op11_quality"] = rf"""
+WITH t AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda s: regexp_matches(s, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+), windows AS (
+    SELECT r, unnest([{{'at': i, 'words': w[i:i + 7]}} FOR i IN range(1, len(w) - 6)], recursive := true) FROM t
+), places AS (
+    SELECT r, "at", count(*) OVER (PARTITION BY r, words) AS times FROM windows
+), steps AS (
+    SELECT r, lead("at") OVER (PARTITION BY r ORDER BY "at") - "at" AS step FROM places WHERE times > 1
+), repeats AS (
+    SELECT r, CAST(sum(least(coalesce(step, 8), 8)) AS BIGINT) AS n_repeat_words FROM steps GROUP BY r
+), m AS (
+    SELECT doc_id, len(w) AS n_words, CAST(coalesce(list_sum([length(x) FOR x IN w]), 0) AS BIGINT) AS word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+           length(text) - length(replace(text, '!', '')) AS n_marks,
+           len([x FOR x IN w IF regexp_full_match(x, '[!-@\[-`{{-~]+')]) AS n_letterless_words,
+           len(regexp_extract_all(text, '[A-ZÀ-ÖØ-Þ]')) AS n_capitals,
+           len([x FOR x IN w IF lower(x[1]) || substr(regexp_replace(x, '[,.]$', ''), 2) IN ({_STOPS})]) AS n_stop_words,
+           len(lines) AS n_lines, len(regexp_extract_all(text, '(?m)^[ \t]*[-*•|#]')) AS n_listed_lines,
+           len(regexp_extract_all(text, '(?m)(\.\.\.|…)$')) AS n_open_lines
+    FROM t LEFT JOIN repeats USING (r)
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, n_repeat_words, {_breaks(quality.BASE)} AS base_failed,
+       NOT ({_breaks(quality.BASE)} OR {_breaks(quality.RULES)}) AS kept
+FROM m
+"""
+
+
+@_query
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; a seventh of the labels is moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return mining.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op12_negatives"] = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS w
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same,
+           CAST(list_sum([a.w[i] * c.w[i] FOR i IN range(1, len(a.w) + 1)]) AS BIGINT) AS score
+    FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id AND len(a.w) = len(c.w)
+), p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+
+@_query
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document's words; a tenth of the documents is made to repeat first."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.when(h % 10 == 0, words).alias("words"), g.alias("g"))
+    n = F.size("words")
+    docs = docs.withColumn("a", F.when(n > 0, F.col("g") % n).cast("int"))
+    docs = docs.withColumn("p", (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    moved = F.transform("words", lambda w, i: F.when(i >= F.col("a"), F.get("words", F.col("a") + (i - F.col("a")) % F.col("p"))).otherwise(w))
+    text = F.when(F.col("a").isNotNull(), F.array_join(moved, " ")).otherwise(F.col("text"))
+    found = periods.find_runs(docs.select("doc_id", text.alias("text")))
+    longest = F.get(F.sort_array(F.transform("runs", lambda r: F.struct((-r["length"]).alias("l"), r["start"], r["period"], r["length"]))), F.lit(0))
+    listed = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.when(F.size("runs") > 0, F.concat(F.array_join(listed, "\n"), F.lit("\n"))).otherwise(F.lit(""))
+    found = found.withColumn("longest", longest)
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"longest.{c}").cast("long").alias(c) for c in ("start", "length", "period")],
+        F.floor(1000 * F.col("longest.length") / F.col("longest.period")).cast("long").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+ORACLES["op13_runs"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           xor(list_reduce(list_prepend(4294967295, flatten([[CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0] FOR c IN string_split(CAST(doc_id AS VARCHAR), '')])),
+               lambda c, e: xor(xor(c, e) >> 1, (xor(c, e) & 1) * 3988292384)), 4294967295) AS h
+    FROM documents
+), e AS (
+    SELECT *, h // 10 AS g, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d
+), t AS (
+    SELECT r, doc_id, n, CASE WHEN a IS NULL THEN w
+           ELSE [w[1 + CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END] FOR i IN range(0, n)] END AS w
+    FROM e
+), m AS (
+    SELECT r, p, i FROM (
+        SELECT r, p, [i FOR i IN range(0, n - p) IF w[i + 1] = w[i + p + 1]] AS same
+        FROM (SELECT r, n, w, unnest(range(1, n // 4 + 1)) AS p FROM t)
+    ), unnest(same) AS u(i) WHERE len(same) >= greatest(3 * p, 6 - p)
+), islands AS (
+    SELECT r, p, min(i) AS start, count(*) + p AS length
+    FROM (SELECT r, p, i, i - row_number() OVER (PARTITION BY r, p ORDER BY i) AS island FROM m) GROUP BY r, p, island
+), runs AS (
+    SELECT r, start, length, min(p) AS period FROM islands WHERE length >= greatest(6, 4 * p) GROUP BY r, start, length
+), per AS (
+    SELECT r, count(*) AS n_runs, arg_min({'start': start, 'length': length, 'period': period}, [-length, start, period]) AS longest,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+           list_distinct(flatten(list(range(start + period, start + length)))) AS gone
+    FROM runs GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, longest.start AS start, longest.length AS length, longest.period AS period,
+       CAST(1000 * longest.length // longest.period AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE [w[i + 1] FOR i IN range(0, n) IF NOT list_contains(gone, i)] END, ' ')) AS collapsed_sha256
+FROM t LEFT JOIN per USING (r)
+"""
