@@ -9,7 +9,16 @@ import gridledger.plans.forecasting as plan
 from gridledger import params as P
 from gridledger.catalog import forecast_sql as S
 from gridledger.catalog.registry import AS_OF, load, milli, query, view
-from gridledger.operators import calendar_frame, delete_matching, fill_last, gap_months, keep_extreme, keep_matching
+from gridledger.operators import (
+    calendar_frame,
+    delete_matching,
+    fill_last,
+    first_month,
+    keep_extreme,
+    keep_matching,
+    last_month,
+    month_date,
+)
 from gridledger.session import Workspace
 from gridledger.sources import append_snapshot, publish, rotate
 from gridledger.tables import SELLER_COLUMNS
@@ -62,9 +71,22 @@ def _base(spark, sf_dir):
     return plan.base_rows(load(spark, sf_dir, "published"), S.RUN)
 
 
+def _points(spark, sf_dir):
+    """Month maps of the points, from one pass over the published rows."""
+    work = Workspace(spark)
+    return work.stage(plan.customers(plan.point_months(plan.with_regular(_base(spark, sf_dir))), S.RUN, work), "points")
+
+
+def _staged(spark, sf_dir):
+    """Classified cells and the points' month maps."""
+    work = Workspace(spark)
+    cells = work.stage(plan.month_cells(_base(spark, sf_dir), S.RUN), "month_cells")
+    points = work.stage(plan.customers(plan.point_months(cells), S.RUN, work), "points")
+    return work.stage(plan.classify(cells, points), "cells"), points
+
+
 def _cells(spark, sf_dir):
-    base = _base(spark, sf_dir)
-    return Workspace(spark).stage(plan.classify(plan.month_cells(base, S.RUN), S.RUN), "cells")
+    return _staged(spark, sf_dir)[0]
 
 
 def _targets(cells):
@@ -83,7 +105,7 @@ def party_key_fallback(spark, sf_dir):
 @query("classify_key_presence", "SELECT COMMODITY_G_E, party AS PIVA_CFISC_FORECAST, kind AS TIPO FROM {f_kind}")
 def classify_key_presence(spark, sf_dir):
     """Customers that always, never or sometimes have a supply point."""
-    kinds = _cells(spark, sf_dir).where(F.col(KIND).isNotNull())
+    kinds = _points(spark, sf_dir).where(F.col(KIND).isNotNull())
     return kinds.select(G, "PIVA_CFISC_FORECAST", F.col(KIND).alias("TIPO")).distinct()
 
 
@@ -95,8 +117,11 @@ FROM {f_keyed} WHERE ckey IS NOT NULL GROUP BY 1, 2
 """,
 )
 def first_last_month(spark, sf_dir):
-    rows = _cells(spark, sf_dir).where(F.col(KEY).isNotNull())
-    return rows.groupBy(G, F.col(KEY).alias("CHIAVE")).agg(F.min("PRIMA_DATA").alias("PRIMA"), F.max(DATE).alias("ULTIMA"))
+    keyed = _points(spark, sf_dir).where(F.col(KEY).isNotNull())
+    ends = keyed.groupBy(G, F.col(KEY).alias("CHIAVE")).agg(
+        F.min(first_month("MESI")).alias("PRIMA"), F.max(last_month("MESI")).alias("ULTIMA")
+    )
+    return ends.withColumns({c: month_date(F.col(c)) for c in ("PRIMA", "ULTIMA")})
 
 
 @query(
@@ -104,7 +129,7 @@ def first_last_month(spark, sf_dir):
     f"SELECT DISTINCT COMMODITY_G_E, party AS PIVA_CFISC_FORECAST FROM {{f_booked}} WHERE note = '{P.NOTE_LAPSED}'",
 )
 def lapsed_keys(spark, sf_dir):
-    return _cells(spark, sf_dir).where("CESSATO").select(G, "PIVA_CFISC_FORECAST").distinct()
+    return _points(spark, sf_dir).where("CESSATO").select(G, "PIVA_CFISC_FORECAST").distinct()
 
 
 @query(
@@ -133,8 +158,7 @@ SELECT COMMODITY_G_E, ckey AS CHIAVE_CLIENTE_FORECAST, CAST(month AS VARCHAR) AS
 """,
 )
 def gaps(spark, sf_dir):
-    rows = _cells(spark, sf_dir).where(F.col(KEY).isNotNull())
-    return gap_months(rows, [G, KEY], DATE, S.RUN.lapse_months + 1, S.RUN.calendar)
+    return plan.key_gaps(_points(spark, sf_dir), S.RUN)
 
 
 @query(
@@ -190,11 +214,10 @@ def tolerance_choice(spark, sf_dir):
 @query("month_grid_missing", "SELECT COMMODITY_G_E, ckey AS CHIAVE, CAST(moy AS BIGINT) AS MESE FROM {f_missing}")
 def month_grid_missing(spark, sf_dir):
     """Months of the year in which a projected key was never booked."""
-    cells = _cells(spark, sf_dir)
-    seen = plan.key_months(cells).groupBy(G, KEY).agg(F.collect_set(F.month(DATE)).alias("_seen"))
-    seen = keep_matching(seen, _targets(cells), [G, KEY])
+    cells, points = _staged(spark, sf_dir)
+    seen = keep_matching(plan.seen_months(points), _targets(cells), [G, KEY])
     grid = seen.withColumn("MESE", F.explode(F.sequence(F.lit(1), F.lit(12))))
-    return grid.where(~F.array_contains("_seen", F.col("MESE"))).select(G, F.col(KEY).alias("CHIAVE"), "MESE")
+    return grid.where(F.getbit("_seen", F.col("MESE") - 1) == 0).select(G, F.col(KEY).alias("CHIAVE"), "MESE")
 
 
 @query(
@@ -256,12 +279,11 @@ def fill_last_asc(spark, sf_dir):
 def reconcile_choice(spark, sf_dir):
     """Booked against projected volume where a key has both in a month."""
     work = Workspace(spark)
-    cells = _cells(spark, sf_dir)
+    cells, points = _staged(spark, sf_dir)
     targets = work.stage(_targets(cells), "targets")
     means = work.stage(plan.mean_rows(plan.key_months(cells), targets, cells, S.RUN), "means")
     means = plan.enrich_means(means, targets, cells)
-    gap = gap_months(cells.where(F.col(KEY).isNotNull()), [G, KEY], DATE, S.RUN.lapse_months + 1, S.RUN.calendar)
-    never = gap.where(~F.col("RIEMPIBILE"))
+    never = plan.key_gaps(points, S.RUN).where(~F.col("RIEMPIBILE"))
     targets = delete_matching(targets, never.withColumnRenamed("MESE_BUCO", "MESE_PROIETTATO"), [G, KEY, "MESE_PROIETTATO"])
     means = delete_matching(means, never.withColumnRenamed("MESE_BUCO", DATE), [G, KEY, DATE])
     return plan.reconcile(cells, targets, means).select(G, F.col(KEY).alias("CHIAVE"), DATE, "PERDENTE")

@@ -11,7 +11,13 @@ from gridledger.operators.joins import (
 from gridledger.operators.months import (
     calendar_frame,
     expand_between,
+    first_month,
     gap_months,
+    last_month,
+    map_gaps,
+    month_date,
+    month_maps,
+    months_of_year,
     project_on_calendar,
 )
 from gridledger.operators.sets import (
@@ -43,7 +49,8 @@ from gridledger.operators.windows import (
 __all__ = [
     "anti_join", "append_common", "append_mapped", "assert_unique", "assign", "attach", "attach_all", "attach_range",
     "calendar_frame", "cascade_lookup", "control_total", "count_distinct_over", "delete_matching", "detach",
-    "diff_tables", "exact_or_wildcard", "expand_between", "fill_last", "filter_pairs", "gap_months",
-    "intersect_distinct", "interval_index", "keep_extreme", "keep_matching", "lookup", "matched", "merge_update", "overlay",
+    "diff_tables", "exact_or_wildcard", "expand_between", "fill_last", "filter_pairs", "first_month", "gap_months",
+    "intersect_distinct", "interval_index", "keep_extreme", "keep_matching", "last_month", "lookup", "map_gaps", "matched", "merge_update", "month_date",
+    "month_maps", "months_of_year", "overlay",
     "project_on_calendar", "qualify", "range_lookup", "spread_join", "top1", "union_distinct", "update_where",
 ]

@@ -26,13 +26,18 @@ from gridledger.operators import (
     assert_unique,
     delete_matching,
     fill_last,
-    gap_months,
+    first_month,
     keep_matching,
+    last_month,
+    map_gaps,
+    month_date,
+    month_maps,
+    months_of_year,
     project_on_calendar,
     spread_join,
     top1,
 )
-from gridledger.operators.months import month_array
+from gridledger.operators.months import MAP_MONTHS, month_array, month_number
 from gridledger.params import ForecastParams
 from gridledger.session import Workspace
 from gridledger.tables import BONUS, MARGIN_PARTS, PROFILE_MEASURES, SELLER_COLUMNS
@@ -64,7 +69,7 @@ def base_rows(published: DataFrame, params: ForecastParams) -> DataFrame:
     )
 
 
-def _with_regular(df: DataFrame) -> DataFrame:
+def with_regular(df: DataFrame) -> DataFrame:
     return df.withColumn("REGOLARE", F.coalesce(is_regular_offer(), F.lit(False)))
 
 
@@ -94,7 +99,7 @@ def month_cells(base: DataFrame, params: ForecastParams) -> DataFrame:
     volume of distinct rows. Without a declared row key, rows are told apart by a
     digest of all their columns; with one, no row has a copy.
     """
-    rows = _with_regular(base).withColumn("MARGINE_TOTALE_EUR", _total_margin())
+    rows = with_regular(base).withColumn("MARGINE_TOTALE_EUR", _total_margin())
     texts = [*IDENTITY, "NOTE_PIVA_CFISC_FORECAST"]
     values = [*MEASURES, *texts, "ID_OFFERTA"]
     if params.row_key is None:
@@ -117,19 +122,28 @@ def month_cells(base: DataFrame, params: ForecastParams) -> DataFrame:
     )
 
 
-def classify(cells: DataFrame, params: ForecastParams) -> DataFrame:
-    """Kind of customer, customer key, first booked month and lapse, per cell."""
-    regular = "FILTER (WHERE REGOLARE)"
+def point_months(rows: DataFrame) -> DataFrame:
+    """Bit maps of the booked months of every point of a party: all rows, and regular ones.
+
+    One pass over rows (or cells) leaves a row per point and five years; kinds, keys, first
+    and last months, lapses and gaps all follow from these few rows.
+    """
+    known = rows.where(F.col(G).isNotNull() & F.col(PARTY).isNotNull())
+    return month_maps(known, [G, PARTY, "PDP"], DATE, {"MESI": F.lit(True), "MESI_REGOLARI": F.col("REGOLARE")})
+
+
+def customers(points: DataFrame, params: ForecastParams, work: Workspace) -> DataFrame:
+    """The points' maps with kind of customer, customer key, first booked month and lapse."""
+    regular = "FILTER (WHERE MESI_REGOLARI <> 0)"
+    points = work.stage(points, "point_months")
     parties = (
-        cells.where(F.col(G).isNotNull() & F.col(PARTY).isNotNull())
-        .withColumn("_point", has_point())
-        .withColumn("_point", F.coalesce("_point", F.lit(False)))
+        points.withColumn("_point", F.coalesce(has_point(), F.lit(False)))
         .groupBy(G, PARTY)
         .agg(
             F.expr(f"bool_and(_point) {regular}").alias("_all"),
             F.expr(f"bool_or(_point) {regular}").alias("_any"),
-            (F.max(DATE) <= F.lit(params.lapse_cutoff)).alias("CESSATO"),
-            F.count(F.lit(1)).alias("_cells"),
+            (month_date(F.max(last_month("MESI"))) <= F.lit(params.lapse_cutoff)).alias("CESSATO"),
+            F.count(F.lit(1)).alias("_rows"),
         )
         .withColumn(
             KIND,
@@ -139,20 +153,43 @@ def classify(cells: DataFrame, params: ForecastParams) -> DataFrame:
         )
         .drop("_all", "_any")
     )
-    out = spread_join(cells, parties, [G, PARTY], "_cells", spread_by=["PDP", DATE])
+    out = spread_join(points, parties, [G, PARTY], "_rows", spread_by=["PDP", "_years"])
     out = out.withColumns(
         {
-            "CESSATO": F.coalesce("CESSATO", F.lit(False)),
             "SEMPRE": F.coalesce(F.col(KIND) == P.ALWAYS_POINT, F.lit(False)),
             KEY: F.when(F.col(KIND) == P.ALWAYS_POINT, F.col("PDP")).when(F.col(KIND).isNotNull(), F.col(PARTY)),
         }
     )
+    out = work.stage(out, "keyed_months")
     first = (
         out.where(F.col(KEY).isNotNull())
         .groupBy(G, KEY)
-        .agg(F.min(DATE).alias("PRIMA_DATA"), F.count(F.lit(1)).alias("_cells"))
+        .agg(month_date(F.min(first_month("MESI"))).alias("PRIMA_DATA"), F.count(F.lit(1)).alias("_rows"))
     )
-    return spread_join(out, first, [G, KEY], "_cells", spread_by=[PARTY, "PDP", DATE])
+    return spread_join(out, first, [G, KEY], "_rows", spread_by=[PARTY, "PDP", "_years"])
+
+
+def classify(cells: DataFrame, points: DataFrame) -> DataFrame:
+    """Cells with what is known of their point; a row of ``points`` meets at most two cells a month."""
+    part = F.floor(month_number(DATE) / MAP_MONTHS).cast("int")
+    facts = ["CESSATO", KIND, "SEMPRE", KEY, "PRIMA_DATA"]
+    side = points.select(*[F.col(c).alias(f"_{c}") for c in (G, PARTY, "PDP")], F.col("_years").alias("_span"), *facts)
+    same = (F.col(G) == F.col(f"_{G}")) & (F.col(PARTY) == F.col(f"_{PARTY}"))
+    same = same & F.col("PDP").eqNullSafe(F.col("_PDP")) & (part == F.col("_span"))
+    out = cells.join(side, same, "left").drop(*[f"_{c}" for c in (G, PARTY, "PDP")], "_span")
+    return out.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("CESSATO", "SEMPRE")})
+
+
+def key_gaps(points: DataFrame, params: ForecastParams) -> DataFrame:
+    """Months missing inside the history of each customer key."""
+    keyed = points.where(F.col(KEY).isNotNull())
+    return map_gaps(keyed, [G, KEY], "MESI", params.lapse_months + 1, params.calendar)
+
+
+def seen_months(points: DataFrame) -> DataFrame:
+    """Twelve bits per projectable key: the months of the year its regular rows were booked in."""
+    live = points.where(~F.col("CESSATO") & F.col(KEY).isNotNull() & (F.col("MESI_REGOLARI") != 0))
+    return live.groupBy(G, KEY).agg(F.bit_or(months_of_year("MESI_REGOLARI")).alias("_seen"))
 
 
 def key_months(cells: DataFrame) -> DataFrame:
@@ -237,12 +274,12 @@ def mean_rows(months: DataFrame, targets: DataFrame, cells: DataFrame, params: F
     )
     profile = by_month.groupBy(G, KEY).agg(
         F.min("PRIMA_DATA").alias("PRIMA_DATA"),
-        F.collect_set("MESE").alias("_seen"),
+        F.bit_or(F.expr("shiftleft(1L, MESE - 1)")).alias("_seen"),
         *[F.avg(m).alias(m) for m in MEASURES],
     )
     profile = keep_matching(profile, targets, [G, KEY])
     out = profile.withColumn(DATE, F.explode(month_array(params.calendar)))
-    open_month = ~F.array_contains("_seen", F.month(DATE)) & (F.col(DATE) >= F.col("PRIMA_DATA"))
+    open_month = (F.getbit("_seen", F.month(DATE) - 1) == 0) & (F.col(DATE) >= F.col("PRIMA_DATA"))
     out = out.where(open_month).drop("_seen")
     taken = (
         cells.where(F.col(DATE).isin(params.calendar))
@@ -295,7 +332,7 @@ def last_booked_rows(base: DataFrame, cells: DataFrame) -> DataFrame:
     last = live.groupBy(G, KEY).agg(F.max(DATE).alias("_last"), F.count(F.lit(1)).alias("_cells"))
     at_last = spread_join(live, last, [G, KEY], "_cells", "inner", spread_by=[PARTY, "PDP", DATE])
     at_last = at_last.where(F.col(DATE) == F.col("_last")).select(*CELL, KEY, "_n")
-    narrow = _with_regular(base).select(*CELL, *SELLER_COLUMNS, "COD_OFFERTA", VOLUME)
+    narrow = with_regular(base).select(*CELL, *SELLER_COLUMNS, "COD_OFFERTA", VOLUME)
     booked = spread_join(narrow, at_last, list(CELL), "_n", "inner")
     return booked.groupBy(G, KEY, *SELLER_COLUMNS, "COD_OFFERTA").agg(F.sum(VOLUME).alias(VOLUME))
 
@@ -345,16 +382,11 @@ def forecast(published: DataFrame, params: ForecastParams, workspace: Workspace
     base = base_rows(published, params)
     if params.row_key is not None:
         assert_unique(base, params.row_key).agg(F.sum("n")).collect()
-    # Staged twice: the statistics of parties and keys are read back several times.
     cells = work.stage(month_cells(base, params), "month_cells")
-    cells = work.stage(classify(cells, params), "cells")
+    points = work.stage(customers(point_months(cells), params, work), "points")
+    cells = work.stage(classify(cells, points), "cells")
     months = work.stage(key_months(cells), "months")
-    gaps = work.stage(
-        gap_months(
-            cells.where(F.col(KEY).isNotNull()), [G, KEY], DATE, params.lapse_months + 1, params.calendar
-        ),
-        "gaps",
-    )
+    gaps = work.stage(key_gaps(points, params), "gaps")
     never = gaps.where(~F.col("RIEMPIBILE")).withColumnRenamed("MESE_BUCO", "MESE_PROIETTATO")
     chosen = choose_sources(months, params)
     targets = work.stage(project_sources(chosen, cells, params), "targets")
@@ -422,7 +454,7 @@ def _assemble(base: DataFrame, plans: DataFrame, params: ForecastParams, work: W
     The wide rows are joined once. Without a row key the joined rows are written, since
     they are read for the booked rows and for the distinct rows to project.
     """
-    rows = spread_join(_with_regular(base), plans, list(CELL), "_n", "inner")
+    rows = spread_join(with_regular(base), plans, list(CELL), "_n", "inner")
     rows = rows.withColumns({KIND: F.col("_kind"), KEY: F.col("_key"), "CODE_MIN_DATA_DELIVERY": F.col("_first")})
     entry = "struct<mese:date,nota:string,proiettata:boolean>"
     booked = F.array(F.struct(F.col(DATE).alias("mese"), F.col("_note").alias("nota"), F.lit(False).alias("proiettata")))
