@@ -23,8 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-#: Pieces of text whose ids a worker remembers, at some 300 bytes each, and the longest of them.
-REMEMBERED, LONGEST = 1_200_000, 64
+#: Bytes of results that a task remembers, by the estimate in ``_learn``, and the longest piece of text among them.
+REMEMBERED, LONGEST = 160 << 20, 64
+#: Bytes of a remembered piece and its ids beyond their characters: two strings and a place in a dictionary.
+ENTRY = 200
 #: Characters of the texts that are encoded together.
 TOGETHER = 1 << 21
 
@@ -49,10 +51,11 @@ class Codec:
                     self.pairs[left, right] = rank
         # Bits of the ranks that have a bucket, 256 a word; they are all zero between pre-tokens.
         self.words = [0] * (max(self.bytes) // 256 + 1)
-        # Results by piece of text: number of ids, the ids, the bytes they decode to. There are
-        # two generations, of which the older one is dropped whole.
-        self.fresh: dict[str, tuple[int, str, bytes]] = {}
-        self.older: dict[str, tuple[int, str, bytes]] = {}
+        self.named = {str(rank): token for rank, token in self.bytes.items()}
+        # Ids by piece of text. There are two generations, of which the older one is dropped whole.
+        self.fresh: dict[str, str] = {}
+        self.older: dict[str, str] = {}
+        self.held = 0
         # Pieces that are forgotten once their texts are done.
         self.long: list[str] = []
 
@@ -131,11 +134,11 @@ class Codec:
         return [first, *map(" ".__add__, rest)]
 
     def _learn(self, pieces: set[str]) -> None:
-        """Put the results of all pieces into the fresh generation."""
-        if len(self.fresh) >= REMEMBERED // 2:
-            self.older, self.fresh = self.fresh, {}
+        """Put the ids of all pieces into the fresh generation."""
+        if self.held >= REMEMBERED // 2:
+            self.older, self.fresh, self.held = self.fresh, {}, 0
         fresh, older = self.fresh, self.older
-        new = []
+        known, new = len(fresh), []
         for piece in pieces.difference(fresh):
             made = older.get(piece)
             if made is None:
@@ -148,16 +151,20 @@ class Codec:
         merged = iter(self.merge([t for t in encoded if t not in self.ranks]))
         for token, data in zip(unknown, encoded, strict=True):
             # A pre-token that is a token is never merged.
-            ids = [self.ranks[data]] if data in self.ranks else next(merged)
-            fresh[token] = len(ids), " ".join(map(str, ids)), self.decode(ids)
+            fresh[token] = str(self.ranks[data]) if data in self.ranks else " ".join(map(str, next(merged)))
         for piece, tokens in zip(new, split, strict=True):
             if piece not in fresh:
-                counts, ids, data = zip(*(fresh.get(t) or older[t] for t in tokens), strict=True)
-                fresh[piece] = sum(counts), " ".join(ids), b"".join(data)
+                fresh[piece] = " ".join([fresh.get(t) or older[t] for t in tokens])
         self.long = [p for p in {*new, *unknown} if len(p) > LONGEST]
+        # Short pieces and their ids hold some 16 characters each.
+        self.held += (len(fresh) - known) * (ENTRY + 32)
 
-    def results(self, texts: list[str | None]) -> Iterator[tuple[int, str, bytes]]:
-        """For each text the number of its ids, the ids, and the bytes they decode to."""
+    def forget(self) -> None:
+        """Let all remembered results go."""
+        self.fresh, self.older, self.held = {}, {}, 0
+
+    def results(self, texts: list[str | None]) -> Iterator[str]:
+        """For each text its ids, joined by blanks."""
         start = 0
         while start < len(texts):
             stop, size = start, 0
@@ -165,20 +172,15 @@ class Codec:
                 size += len(texts[stop] or "")
                 stop += 1
             cut = [self.parts(text or "") for text in texts[start:stop]]
-            pieces = {piece for parts in cut for piece in parts}
-            self._learn(pieces)
+            self._learn({piece for parts in cut for piece in parts})
             for parts in cut:
-                if parts:
-                    counts, ids, data = zip(*map(self.fresh.__getitem__, parts), strict=True)
-                    yield sum(counts), " ".join(ids), b"".join(data)
-                else:
-                    yield 0, "", b""
+                yield " ".join(map(self.fresh.__getitem__, parts))
             for piece in self.long:
                 del self.fresh[piece]
             start = stop
 
     def encode(self, text: str | None) -> list[int]:
-        return list(map(int, next(self.results([text]))[1].split()))
+        return list(map(int, next(self.results([text])).split()))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
@@ -186,7 +188,7 @@ class Codec:
 
 @lru_cache(maxsize=4)
 def codec(path: str, pattern: str) -> Codec:
-    """The worker's codec; it is read once and its memory lasts over tasks."""
+    """The worker's codec; its tables are read once, and what a task remembers goes with the task."""
     return Codec(path, pattern)
 
 
@@ -201,10 +203,13 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", nam
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for batch in batches:
-            found = own.results(batch.column(at).to_pylist())
-            ids = pa.array([list(map(int, ids.split())) for _, ids, _ in found], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, name])
+        try:
+            for batch in batches:
+                found = own.results(batch.column(at).to_pylist())
+                ids = pa.array([list(map(int, ids.split())) for ids in found], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, name])
+        finally:
+            own.forget()
 
     return docs.mapInArrow(each, StructType([*docs.schema, StructField(name, ArrayType(IntegerType()))]))
 
@@ -235,15 +240,19 @@ def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for batch in batches:
-            counts, ids, decoded = [], [], []
-            for n, text_ids, data in own.results(batch.column(1).to_pylist()):
-                counts.append(n)
-                ids.append(sha(text_ids.encode()))
-                decoded.append(sha(data))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        try:
+            for batch in batches:
+                counts, ids, decoded = [], [], []
+                for joined in own.results(batch.column(1).to_pylist()):
+                    names = joined.split()
+                    counts.append(len(names))
+                    ids.append(sha(joined.encode()))
+                    decoded.append(sha(b"".join(map(own.named.__getitem__, names))))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
+                    ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:
+            own.forget()
 
     kind = rows.schema["id"].dataType.simpleString()
     out = rows.mapInArrow(each, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
