@@ -151,8 +151,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines that an earlier document, or line, has already."""
-    return passages.repeated_passages(_table(spark, sf_dir, "documents"), min_words=1)
+    """Lines and sentences that an earlier document, or place, has already, in runs of 20 words or more."""
+    return passages.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
 @_query
