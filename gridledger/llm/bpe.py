@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 #: Bytes of results that a task remembers, by the estimate in ``_learn``, and the longest piece of text among them.
-REMEMBERED, LONGEST = 160 << 20, 64
+REMEMBERED, LONGEST = 320 << 20, 64
 #: Bytes of a remembered piece and its ids beyond their characters: two strings and a place in a dictionary.
 ENTRY = 200
 #: Characters of the texts that are encoded together.
