@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-#: Bytes of results that a task remembers, by the estimate in ``_learn``, and the longest piece of text among them.
+#: Bytes of results that a worker remembers, by the estimate in ``_learn``, and the longest piece of text among them.
 REMEMBERED, LONGEST = 320 << 20, 64
 #: Bytes of a remembered piece and its ids beyond their characters: two strings and a place in a dictionary.
 ENTRY = 200
@@ -159,10 +159,6 @@ class Codec:
         # Short pieces and their ids hold some 16 characters each.
         self.held += (len(fresh) - known) * (ENTRY + 32)
 
-    def forget(self) -> None:
-        """Let all remembered results go."""
-        self.fresh, self.older, self.held = {}, {}, 0
-
     def results(self, texts: list[str | None]) -> Iterator[str]:
         """For each text its ids, joined by blanks."""
         start = 0
@@ -188,7 +184,7 @@ class Codec:
 
 @lru_cache(maxsize=4)
 def codec(path: str, pattern: str) -> Codec:
-    """The worker's codec; its tables are read once, and what a task remembers goes with the task."""
+    """The worker's codec; it is read once, and its memory of ``REMEMBERED`` bytes at most lasts over tasks."""
     return Codec(path, pattern)
 
 
@@ -203,13 +199,10 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", nam
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        try:
-            for batch in batches:
-                found = own.results(batch.column(at).to_pylist())
-                ids = pa.array([list(map(int, ids.split())) for ids in found], pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, name])
-        finally:
-            own.forget()
+        for batch in batches:
+            found = own.results(batch.column(at).to_pylist())
+            ids = pa.array([list(map(int, ids.split())) for ids in found], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, name])
 
     return docs.mapInArrow(each, StructType([*docs.schema, StructField(name, ArrayType(IntegerType()))]))
 
@@ -240,19 +233,16 @@ def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        try:
-            for batch in batches:
-                counts, ids, decoded = [], [], []
-                for joined in own.results(batch.column(1).to_pylist()):
-                    names = joined.split()
-                    counts.append(len(names))
-                    ids.append(sha(joined.encode()))
-                    decoded.append(sha(b"".join(map(own.named.__getitem__, names))))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                    ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        finally:
-            own.forget()
+        for batch in batches:
+            counts, ids, decoded = [], [], []
+            for joined in own.results(batch.column(1).to_pylist()):
+                names = joined.split()
+                counts.append(len(names))
+                ids.append(sha(joined.encode()))
+                decoded.append(sha(b"".join(map(own.named.__getitem__, names))))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
+                ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     kind = rows.schema["id"].dataType.simpleString()
     out = rows.mapInArrow(each, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
