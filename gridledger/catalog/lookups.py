@@ -352,10 +352,10 @@ UNION ALL SELECT o_custkey, sum(o_totalprice > 300000)::BIGINT, '2001-01-15' FRO
 """,
 )
 def snapshot_append(spark, sf_dir):
-    """Two dated runs appended to one history."""
+    """Two dated runs in one history; the second one is run again with another limit and replaces itself."""
     path = f"{Workspace(spark).path}/history"
     orders = load(spark, sf_dir, "orders")
-    for day, least in ((14, 200000), (15, 300000)):
+    for day, least in ((14, 200000), (15, 100000), (15, 300000)):
         n = F.count(F.when(F.col("o_totalprice") > least, F.lit(1)))
         append_snapshot(orders.groupBy("o_custkey").agg(n.alias("alti")), path, dt.date(2001, 1, day))
     return spark.read.parquet(path)

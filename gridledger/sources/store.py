@@ -41,8 +41,13 @@ def publish(
 
 
 def append_snapshot(df: DataFrame, path: str, as_of: dt.date, name: str = "DATA_LANCIO") -> None:
-    """Append a run to the history, one folder per run date, columns aligned by name."""
-    df.withColumn(name, F.lit(as_of)).write.mode("append").partitionBy(name).parquet(path)
+    """Add a run to the history, one folder per run date, columns aligned by name.
+
+    Only the folder of the run date is replaced, so a run that is repeated has its rows once and
+    other dates stay. A run without rows leaves what its date already has.
+    """
+    writer = df.withColumn(name, F.lit(as_of)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(name).parquet(path)
 
 
 def rotate(root: str, name: str, run: str, previous: str) -> tuple[str, str]:
