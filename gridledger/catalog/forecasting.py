@@ -43,8 +43,8 @@ def forecast_published(spark, sf_dir):
     """The forecast written by month, read back, and kept as a dated snapshot that is read back."""
     work = Workspace(spark)
     new, _ = rotate(work.path, "forecast", "2001-01-15", "2001-01-14")
-    out = work.stage(_forecast(spark, sf_dir, "published", S.RUN), "forecast")
-    publish(out, new, DATE, [G])
+    out = _forecast(spark, sf_dir, "published", S.RUN)
+    publish(out, new, DATE, [G], work=work)
     append_snapshot(spark.read.parquet(new).select(*out.columns), f"{work.path}/history", AS_OF)
     history = spark.read.parquet(f"{work.path}/history")
     return _shown(history.where(F.col("DATA_LANCIO") == F.lit(AS_OF)).select(*out.columns))

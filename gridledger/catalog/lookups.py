@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from gridledger.catalog import views  # noqa: F401
-from gridledger.catalog.registry import load, query, view
+from gridledger.catalog.registry import load, milli, milli_sql, query, view
 from gridledger.functions import tender_agreement, tender_lot
 from gridledger.operators import (
     append_common,
@@ -28,7 +28,7 @@ from gridledger.operators import (
 from gridledger.params import MasterParams
 from gridledger.plans.margins import tender_rows
 from gridledger.session import Workspace
-from gridledger.sources import append_snapshot, publish, reset_status, rotate
+from gridledger.sources import append_snapshot, diff_published, publish, reset_status, rotate
 
 
 @query(
@@ -361,21 +361,70 @@ def snapshot_append(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+view(
+    "published_corrected",
+    """
+SELECT COMMODITY_G_E, ID_DETTAGLIO, VOLUME_COPERTO_MC_MWH, DATA_DELIVERY, CASE WHEN month(DATA_DELIVERY) = 3 AND COMMODITY_G_E = 'E'
+       THEN MARGINE_MP_EUR + 5 ELSE MARGINE_MP_EUR END AS MARGINE_MP_EUR
+FROM {published} WHERE DATA_DELIVERY <> CAST('1997-05-01' AS DATE)
+""",
+)
+_PUBLISHED = ["COMMODITY_G_E", "ID_DETTAGLIO", "VOLUME_COPERTO_MC_MWH", "DATA_DELIVERY", "MARGINE_MP_EUR"]
+
+
 @query(
     "publish_by_month",
     """
-SELECT COMMODITY_G_E, ID_DETTAGLIO, VOLUME_COPERTO_MC_MWH, CAST(DATA_DELIVERY AS VARCHAR) AS DATA_DELIVERY FROM {published}
+SELECT COMMODITY_G_E, ID_DETTAGLIO, VOLUME_COPERTO_MC_MWH, MARGINE_MP_EUR, CAST(DATA_DELIVERY AS VARCHAR) AS DATA_DELIVERY
+FROM {published_corrected}
 """,
 )
 def publish_by_month(spark, sf_dir):
-    """Full refresh into month folders, read back."""
+    """Full publication into month folders, then one that changes the months of March and drops a month; read back."""
     work = Workspace(spark)
     new, _ = rotate(work.path, "published", "2001-01-15", "2001-01-14")
-    rows = load(spark, sf_dir, "published").select("COMMODITY_G_E", "ID_DETTAGLIO", "VOLUME_COPERTO_MC_MWH", "DATA_DELIVERY")
-    publish(work.stage(rows, "rows"), new, "DATA_DELIVERY", ["COMMODITY_G_E"])
+    publish(load(spark, sf_dir, "published").select(*_PUBLISHED), new, "DATA_DELIVERY", ["COMMODITY_G_E"], work=work)
+    publish(load(spark, sf_dir, "published_corrected").select(*_PUBLISHED), new, "DATA_DELIVERY", ["COMMODITY_G_E"], work=work)
     return spark.read.parquet(new)
 
 
+@query(
+    "diff_published_months",
+    """
+SELECT a.ID_DETTAGLIO, CAST(a.DATA_DELIVERY AS VARCHAR) AS DATA_DELIVERY, a.MARGINE_MP_EUR AS MARGINE_MP_EUR_OLD,
+       b.MARGINE_MP_EUR AS MARGINE_MP_EUR_NEW, round(a.MARGINE_MP_EUR - b.MARGINE_MP_EUR, 0) AS DELTA_MARGINE_MP_EUR,
+       'KO' AS CHECK_MARGINE_MP_EUR
+FROM {published} a JOIN {published_corrected} b ON b.ID_DETTAGLIO = a.ID_DETTAGLIO AND b.DATA_DELIVERY = a.DATA_DELIVERY
+WHERE round(a.MARGINE_MP_EUR - b.MARGINE_MP_EUR, 0) <> 0
+""",
+)
+def diff_published_months(spark, sf_dir):
+    """Rows that differ between two published versions; months with equal digests aren't read."""
+    work = Workspace(spark)
+    new, old = rotate(work.path, "published", "2001-01-15", "2001-01-14")
+    for view_name, path in (("published", old), ("published_corrected", new)):
+        publish(load(spark, sf_dir, view_name).select(*_PUBLISHED), path, work=work)
+    return diff_published(spark, old, new, ["ID_DETTAGLIO"], ["MARGINE_MP_EUR"], "MARGINE_MP_EUR")
+
+
+@query(
+    "publish_totals",
+    f"""
+SELECT {milli_sql('sum(MARGINE_MP_EUR)')} AS TOTALE, count(*) AS RIGHE, count(*) - count(VOLUME_COPERTO_MC_MWH) AS SENZA_VOLUME
+FROM {{published}}
+""",
+)
+def publish_totals(spark, sf_dir):
+    """Control totals observed by the write of a publication, without a pass of their own."""
+    work = Workspace(spark)
+    totals = {
+        "TOTALE": milli(F.sum("MARGINE_MP_EUR")), "RIGHE": F.count(F.lit(1)),
+        "SENZA_VOLUME": F.count_if(F.col("VOLUME_COPERTO_MC_MWH").isNull()),
+    }
+    seen = publish(load(spark, sf_dir, "published").select(*_PUBLISHED), f"{work.path}/published", totals=totals, work=work)
+    return spark.createDataFrame([tuple(seen[n] for n in totals)], "TOTALE string, RIGHE long, SENZA_VOLUME long")
+
+
 @query(
     "status_reset",
     "SELECT o_orderkey, CAST(CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 0 END AS BIGINT) AS STATO FROM {orders}",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,18 +28,16 @@ def tune(spark: SparkSession) -> SparkSession:
 class Workspace:
     """Written, columnar intermediate tables that cut lineage.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``. Only a
-    local session, which has no other machines, falls back to a folder of its own.
-    What is left in it goes when the session's JVM ends.
+    The folder is the one the cluster names in ``spark.checkpoint.dir``, else the one
+    set by ``SparkContext.setCheckpointDir``; a session with neither raises. What is
+    left in it goes when the session's JVM ends.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        root = spark.conf.get("spark.checkpoint.dir", None)
+        root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
         if not root:
-            if not spark.sparkContext.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            root = tempfile.mkdtemp(prefix="gridledger-")
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         self.path = f"{root.rstrip('/')}/gridledger-{uuid.uuid4().hex}"
         folder, files = self._folder()
         files.mkdirs(folder)

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,28 +16,6 @@ def read_table(
     return reader.parquet(f"{root.rstrip('/')}/{name}{suffix}")
 
 
-def publish(
-    df: DataFrame, path: str, partition_by: str = "DATA_DELIVERY", cluster_by: Sequence[str] = ()
-) -> None:
-    """Full refresh, one folder per delivery month, sorted by the cluster columns.
-
-    Range partitions on month, cluster columns and a row hash are balanced whatever
-    the data: a crowded month takes several tasks and a quiet one shares a task, so
-    a task writes few months and a month has few files. The bounds come from a sample,
-    which reads the input once more: stage an input that is expensive to compute.
-    """
-    order = [c for c in (partition_by, *cluster_by)]
-    (
-        df.withColumn("_row", F.xxhash64(*df.columns))
-        .repartitionByRange(*order, "_row")
-        .sortWithinPartitions(*order)
-        .drop("_row")
-        .write.mode("overwrite")
-        .partitionBy(partition_by)
-        .parquet(path)
-    )
-
-
 def append_snapshot(df: DataFrame, path: str, as_of: dt.date, name: str = "DATA_LANCIO") -> None:
     """Add a run to the history, one folder per run date, columns aligned by name.
 

@@ -27,7 +27,7 @@ from gridledger.operators import (
     top1,
     update_where,
 )
-from gridledger.sources import append_snapshot, publish, reset_status
+from gridledger.sources import append_snapshot, changed_months, diff_published, publish, reset_status
 
 
 def rows(df):
@@ -200,17 +200,72 @@ def test_diff_lists_only_failures(spark):
     assert rows(out) == [(2, -2.0, "KO")]
 
 
+MONTHS = "case when id % 4 < 3 then date '2024-01-01' + make_interval(0, cast(id % 4 as int)) end"
+
+
 def test_publish_and_snapshots(spark, tmp_path):
-    df = spark.range(50).select("id", F.expr("date '2024-01-01' + make_interval(0, cast(id % 3 as int))").cast("date").alias("DATA_DELIVERY"))
+    df = spark.range(50).select("id", F.expr(MONTHS).cast("date").alias("DATA_DELIVERY"))
     publish(df, str(tmp_path / "p"), cluster_by=["id"])
-    assert len(list((tmp_path / "p").glob("DATA_DELIVERY=*"))) == 3
-    assert spark.read.parquet(str(tmp_path / "p")).count() == 50
+    assert len(list((tmp_path / "p").glob("DATA_DELIVERY=*"))) == 4
+    assert rows(spark.read.parquet(str(tmp_path / "p"))) == rows(df)
     for day in (1, 2, 2):
         append_snapshot(df, str(tmp_path / "h"), dt.date(2024, 5, day))
     history = spark.read.parquet(str(tmp_path / "h")).groupBy("DATA_LANCIO").count().collect()
     assert sorted(r["count"] for r in history) == [df.count()] * 2
 
 
+def test_publish_writes_changed_months_and_runs_its_input_once(spark, tmp_path):
+    path, seen = str(tmp_path / "p"), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(60).select("id", F.expr(MONTHS).cast("date").alias("DATA_DELIVERY"), F.lit(1).alias("v"))
+    first = publish(df.mapInArrow(counted, df.schema), path, totals={"n": F.count(F.lit(1)), "v": F.sum("v")})
+    assert (first["n"], first["v"], seen.value, len(first["months"])) == (60, 60, 60, 4)
+    files = {str(f.relative_to(path)) for f in (tmp_path / "p").rglob("part-*") if "_months" not in str(f)}
+
+    again = publish(df.select("v", "DATA_DELIVERY", "id"), path)
+    assert again["months"] == []
+    # February changes a value, the rows without month change, March goes, a copy is added in January.
+    changed = df.withColumn("v", F.when(F.expr("id = 1 or DATA_DELIVERY is null"), 2).otherwise(F.col("v")))
+    changed = changed.where("DATA_DELIVERY is null or month(DATA_DELIVERY) < 3").unionByName(df.where("id = 4"))
+    written = publish(changed, path)["months"]
+    assert written == [dt.date(2024, 1, 1), dt.date(2024, 2, 1), None]
+    assert rows(spark.read.parquet(path).select("id", "DATA_DELIVERY", "v")) == rows(changed)
+    left = {str(f.relative_to(path)) for f in (tmp_path / "p").rglob("part-*") if "_months" not in str(f)}
+    assert not files & left
+
+    # Only one month changes: the others keep their files.
+    publish(changed.where("not id <=> 5"), path)
+    kept = {str(f.relative_to(path)) for f in (tmp_path / "p").rglob("part-*") if "_months" not in str(f)}
+    assert {f.split("/")[0] for f in left - kept} == {"DATA_DELIVERY=2024-02-01"}
+
+    # A run that stopped before its digests were written is done over as a whole.
+    for f in (tmp_path / "p" / "_months" / "digests").iterdir():
+        f.unlink()
+    assert len(publish(df, path)["months"]) == 4
+    assert rows(spark.read.parquet(path).select("id", "DATA_DELIVERY", "v")) == rows(df)
+
+
+def test_versions_are_compared_by_changed_month(spark, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    df = spark.range(60).select("id", F.expr(MONTHS).cast("date").alias("DATA_DELIVERY"), F.lit(1.0).alias("v"))
+    publish(df, old)
+    publish(df.withColumn("v", F.when(F.col("id").isin(1, 9), 4.0).otherwise(F.col("v"))), new)
+    assert changed_months(spark, old, new) == [dt.date(2024, 2, 1)]
+    diff = diff_published(spark, old, new, ["id"], ["v"], "v")
+    assert [(r.id, r.DELTA_v) for r in diff.collect()] == [(1, -3.0), (9, -3.0)]
+    # Other months' files are never read.
+    for f in (tmp_path / "old" / "DATA_DELIVERY=2024-01-01").glob("*"):
+        f.write_bytes(b"")
+    assert diff.count() == 2
+    with pytest.raises(ValueError):
+        changed_months(spark, old, str(tmp_path / "none"))
+
+
 def test_reset_status(spark):
     df = spark.createDataFrame([(0,), (1,), (2,)], "STATO int")
     assert rows(reset_status(df)) == [(0,), (0,), (2,)]
