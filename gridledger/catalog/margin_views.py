@@ -217,13 +217,30 @@ for _i, _b in enumerate(BANDS):
     for _f in ("COSTO_MP", "RICAVO_MP"):
         _FILLED[amount(_f, _b)] = f"CASE WHEN ln = {_i + 1} THEN NULL ELSE q * {_i + 3} END"
 _NULL_OF = {"double": "DOUBLE", "string": "STRING", "timestamp": "TIMESTAMP", "date": "DATE", "bigint": "BIGINT"}
-view(
-    "wide_rows",
-    "SELECT "
-    + ", ".join(f"{_FILLED.get(f.name, f'CAST(NULL AS {_NULL_OF[f.dataType.simpleString()]})')} AS {f.name}" for f in MASTER_SCHEMA.fields)
-    + " FROM {rows} JOIN (SELECT ID_OFFERTA AS offer_id, COD_OFFERTA, COD_TIPO_CONTRATTO FROM {offers}) o ON offer_id = l_orderkey JOIN {orders} ON o_orderkey = l_orderkey"
-    + " LEFT JOIN {offer_partner} ON partner_of = o_custkey",
-)
+
+
+def _wide(filled: dict[str, str]) -> str:
+    columns = (f"{filled.get(f.name, f'CAST(NULL AS {_NULL_OF[f.dataType.simpleString()]})')} AS {f.name}" for f in MASTER_SCHEMA.fields)
+    return (
+        "SELECT " + ", ".join(columns)
+        + " FROM {rows} JOIN (SELECT ID_OFFERTA AS offer_id, COD_OFFERTA, COD_TIPO_CONTRATTO FROM {offers}) o ON offer_id = l_orderkey JOIN {orders} ON o_orderkey = l_orderkey"
+        + " LEFT JOIN {offer_partner} ON partner_of = o_custkey"
+    )
+
+
+view("wide_rows", _wide(_FILLED))
+
+# Rows with special prices: some have no band volumes but peak volumes, some have neither.
+_SPECIAL = {
+    "FLG_LISTINO_MP_STD_GC10_SPE": "CASE ln WHEN 1 THEN 'SPE' WHEN 2 THEN 'COMP_P' WHEN 3 THEN 'COMPLETO' END",
+    "FLG_LISTINO_PROF_STD_SPE": "CASE WHEN rf = 'N' THEN 'SPE' END",
+}
+for _i, _b in enumerate(BANDS):
+    _SPECIAL[unit("VALORE_INDICE_ACQ", _b)] = f"CASE WHEN disc = 0.0{_i + 2} THEN NULL ELSE q + {_i} END"
+    _SPECIAL[unit("SPREAD_ACQ", _b)] = f"CASE WHEN disc = 0.0{_i + 1} THEN NULL ELSE q + {_i * 3} END"
+    _SPECIAL[unit("COSTO_PROFILAZIONE", _b)] = f"CASE WHEN disc > 0.05 THEN q * {_i} END"
+    _SPECIAL[unit("SCONTO", _b)] = f"CASE WHEN disc > 0.07 THEN 0 - q * {_i} END"
+view("special_rows", _wide(_FILLED | _SPECIAL))
 
 view(
     "bulk_import",
@@ -241,3 +258,12 @@ view(
     "sellers",
     "SELECT ID_DETTAGLIO, CASE WHEN ln > 2 THEN 'seller ' || CAST(ln AS STRING) END AS VENDITORE, 'X' || rf AS COD_VENDITORE FROM {rows} WHERE disc > 0.03",
 )
+# Seller fees come with an import only.
+view(
+    "fee_import",
+    """
+SELECT ID_DETTAGLIO, CAST(l_orderkey AS STRING) AS ID_OFFERTA, CAST(NULL AS STRING) AS COD_OFFERTA, CAST(NULL AS DATE) AS DATA_DELIVERY,
+       CAST(NULL AS TIMESTAMP) AS DATA_COPERTURA, q * 5 AS FEE_VENDITORE_EUR
+FROM {rows} WHERE rf <> 'R'
+""",
+)
