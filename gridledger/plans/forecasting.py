@@ -205,40 +205,38 @@ def key_months(cells: DataFrame) -> DataFrame:
 
 
 def choose_sources(months: DataFrame, params: ForecastParams) -> DataFrame:
-    """For each key and month of the year, the dates whose rows are projected.
+    """For each key and month of the year, the date whose rows are projected.
 
     Point customers repeat their latest date. The others rank years: with a future
     latest date, the best rank whose volume is not too far below the next older
-    year's; otherwise the latest year. Windows see one row per key and date.
+    year's; otherwise the latest year. The years of a key and month are one short array,
+    oldest first, since dates are first days of months; the choice is an element of it.
     """
-    group = Window.partitionBy(G, KEY, "SEMPRE", F.month(DATE))
-    ranked = months.withColumns(
-        {
-            "PROIEZIONE_RANK": F.dense_rank().over(group.orderBy(F.year(DATE).desc())).cast("bigint"),
-            "_latest": F.max(DATE).over(group),
-        }
-    )
-    older = group.orderBy(F.col("PROIEZIONE_RANK").desc(), F.col(DATE))
-    ranked = ranked.withColumns(
-        {"_ranks": F.max("PROIEZIONE_RANK").over(group), "_older": F.lag(VOLUME).over(older)}
-    )
-    change = F.when(F.col("_older") == 0, F.lit(0.0)).otherwise(
-        (F.col(VOLUME) - F.col("_older")) / F.nullif(F.col("_older"), F.lit(0.0))
-    )
-    change = F.round(change, 2)
+    keys = [G, KEY, "SEMPRE"]
+    row = F.struct(DATE, *[c for c in months.columns if c not in (*keys, DATE)])
+    years = F.sort_array(F.collect_list(row)).alias("_years")
+    out = months.groupBy(*keys, F.month(DATE).alias("_month")).agg(years).withColumn("_n", F.size("_years"))
     today = F.lit(params.as_of)
-    passes = (change >= -params.tolerance_pct / 100) | change.isNull() | (F.col(DATE) <= today)
-    ranked = ranked.withColumn("_best", F.when(passes, F.col("PROIEZIONE_RANK")))
-    ranked = ranked.withColumn("_least", F.min("_best").over(group))
+
+    def passing(year: Column, at: Column) -> Column:
+        volume, older = year[VOLUME], F.get("_years", at - 1)[VOLUME]
+        change = F.when(older == 0, F.lit(0.0)).otherwise((volume - older) / F.nullif(older, F.lit(0.0)))
+        change = F.round(change, 2)
+        return F.when((change >= -params.tolerance_pct / 100) | change.isNull() | (year[DATE] <= today), at)
+
+    future = F.get("_years", F.col("_n") - 1)[DATE] > today
+    by_volume = ~F.col("SEMPRE") & (F.col("_n") > 1) & future
+    latest = F.col("_n") - 1
+    out = out.withColumn("_at", F.when(by_volume, F.array_max(F.transform("_years", passing))).otherwise(latest))
     why = (
-        F.when(F.col("SEMPRE"), F.when(F.col(DATE) == F.col("_latest"), P.WHY_LATEST_POINT))
-        .when(F.col("_ranks") == 1, P.WHY_SINGLE)
-        .when(F.col("_latest") > today, F.when(F.col("_best") == F.col("_least"), P.WHY_FUTURE))
-        .otherwise(F.when(F.col("PROIEZIONE_RANK") == 1, P.WHY_PAST))
+        F.when(F.col("SEMPRE"), P.WHY_LATEST_POINT)
+        .when(F.col("_n") == 1, P.WHY_SINGLE)
+        .when(future, P.WHY_FUTURE)
+        .otherwise(P.WHY_PAST)
     )
-    chosen = ranked.withColumn("PROIEZIONE_NOTE", why).where(F.col("PROIEZIONE_NOTE").isNotNull())
-    rank = F.when(F.col("SEMPRE"), F.lit(1)).otherwise(F.col("PROIEZIONE_RANK")).cast("bigint")
-    return chosen.withColumn("PROIEZIONE_RANK", rank).drop("_latest", "_ranks", "_older", "_best", "_least")
+    rank = F.when(F.col("SEMPRE"), F.lit(1)).otherwise(F.col("_n") - F.col("_at")).cast("bigint")
+    out = out.withColumn("_one", F.get("_years", F.col("_at")))
+    return out.select(*keys, "_one.*", rank.alias("PROIEZIONE_RANK"), why.alias("PROIEZIONE_NOTE"))
 
 
 def project_sources(chosen: DataFrame, cells: DataFrame, params: ForecastParams) -> DataFrame:
