@@ -17,6 +17,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import accumulate
 
+import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -42,6 +43,8 @@ class Codec:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.bytes = {rank: token for token, rank in self.ranks.items()}
         self.pattern = regex.compile(pattern)
+        # Whether texts may be cut at spaces first; of other patterns a match might span one.
+        self.at_spaces = pattern == public_tokenizers.PATTERN
         self.single = [self.ranks[bytes([b])] for b in range(256)]
         self.pairs: dict[tuple[int, int], int] = {}
         for token, rank in self.ranks.items():
@@ -52,6 +55,10 @@ class Codec:
         # Bits of the ranks that have a bucket, 256 a word; they are all zero between pre-tokens.
         self.words = [0] * (max(self.bytes) // 256 + 1)
         self.named = {str(rank): token for rank, token in self.bytes.items()}
+        self.forget()
+
+    def forget(self) -> None:
+        """Let go of all remembered results."""
         # Ids by piece of text. There are two generations, of which the older one is dropped whole.
         self.fresh: dict[str, str] = {}
         self.older: dict[str, str] = {}
@@ -122,13 +129,16 @@ class Codec:
         return [[x for x in ids[i:j] if x >= 0] for i, j in zip([0, *ends], ends, strict=False)]
 
     def parts(self, text: str) -> list[str]:
-        """A text cut before the single spaces in it.
+        """A text cut before the single spaces in it, or into its pre-tokens.
 
-        A space between two other characters that aren't white space starts a pre-token
-        whatever surrounds it, so the parts can be encoded apart from one another.
+        With the pattern of the public tokenizers, a space between two other characters that
+        aren't white space starts a pre-token whatever surrounds it, so the parts can be
+        encoded apart from one another. Other patterns cut the text themselves.
         """
         if not text:
             return []
+        if not self.at_spaces:
+            return [m.group() for m in self.pattern.finditer(text)]
         plain = not (_WIDE.search(text) or text[0].isspace() or text[-1].isspace())
         first, *rest = text.split(" ") if plain else _CUT.split(text)
         return [first, *map(" ".__add__, rest)]
@@ -145,7 +155,8 @@ class Codec:
                 new.append(piece)
             else:
                 fresh[piece] = made
-        split = list(map(self.pattern.findall, new))
+        # Pieces of another pattern are pre-tokens already.
+        split = list(map(self.pattern.findall, new)) if self.at_spaces else [[piece] for piece in new]
         unknown = [t for t in {t for tokens in split for t in tokens}.difference(fresh) if t not in older]
         encoded = [t.encode() for t in unknown]
         merged = iter(self.merge([t for t in encoded if t not in self.ranks]))
@@ -221,12 +232,17 @@ def decode(tokens: DataFrame, path: str, pattern: str, ids_col: str = "ids", nam
     return tokens.mapInArrow(each, StructType([*tokens.schema, StructField(name, BinaryType())]))
 
 
-def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def digests(
+    docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text", lasting: bool = True
+) -> DataFrame:
     """``id_col``, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` for every row.
 
     The digests are of the decimal ids joined by one space and of the bytes that the ids
     decode to. A null text is empty: no tokens, digests of nothing. Rows that repeat an id
     stay rows of their own. Other columns aren't read. No rows give no rows.
+
+    A worker remembers results for its later tasks; without ``lasting`` they go with each
+    task, so that operators that run afterwards have the worker's memory to themselves.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sha = lambda data: hashlib.sha256(data).hexdigest()
@@ -243,6 +259,8 @@ def digests(docs: DataFrame, path: str, pattern: str, *, id_col: str = "doc_id",
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
                 ["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        if not lasting:
+            own.forget()
 
     kind = rows.schema["id"].dataType.simpleString()
     out = rows.mapInArrow(each, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")

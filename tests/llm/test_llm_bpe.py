@@ -77,6 +77,16 @@ def test_forgetting(monkeypatch, oracle):
     assert codec.encode("w1 w2") == oracle.encode_ordinary("w1 w2") and len(codec.fresh) <= 4
 
 
+def test_patterns_that_span_spaces(oracle):
+    pattern = r"\w+ \w+|\s?\w+|\s|[^\s\w]+"
+    with open(PATH, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    other = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    codec = bpe.Codec(PATH, pattern)
+    for text in ("of the people by the people", "one two  three, four\n five"):
+        assert codec.encode(text) == other.encode_ordinary(text)
+
+
 def test_merges_clear_the_bitmaps():
     codec = bpe.Codec(PATH, PATTERN)
     for text in HARD:
@@ -91,6 +101,8 @@ def test_digests_and_round_trip(spark, oracle):
         for r in docs.collect())
     got = bpe.digests(docs, PATH, PATTERN).collect()
     assert sorted((str(r[0]), *r[1:]) for r in got) == want
+    got = bpe.digests(docs, PATH, PATTERN, lasting=False).collect()
+    assert sorted((str(r[0]), *r[1:]) for r in got) == want
     ids = bpe.encode(docs.withColumnRenamed("words", "ids"), PATH, PATTERN)
     assert ids.columns[-1] == "ids" and ids.count() == docs.count()
     back = bpe.decode(ids, PATH, PATTERN)
