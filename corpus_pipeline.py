@@ -80,7 +80,9 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     prepare(spark)
     placed = place_in(docs).withColumn("doc_id", F.struct("doc_id", "mix_order"))
-    found = bpe.digests(placed, str(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+    # Workers that serve this session again afterwards shouldn't hold this stage's results.
+    ranks = str(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    found = bpe.digests(placed, ranks, public_tokenizers.PATTERN, lasting=False)
     rest = [c for c in found.columns if c != "doc_id"]
     return found.select(F.col("doc_id.doc_id").alias("doc_id"), *rest, F.col("doc_id.mix_order").alias("mix_order"))
 
