@@ -115,9 +115,9 @@ def near_duplicate_vectors(
 
     Vectors that are null, zero, empty, or hold null, NaN or infinite components, and rows
     with a null group, link with nothing: no links, their own id, kept. Vectors of different
-    length don't link. A null id is never a component's id: such a row is kept only if it
-    has none. Rows that repeat an id with different vectors are one node of the component
-    search. Other columns aren't read. No rows give no rows.
+    length don't link. A row with a null id links like any other, but a null id is never a
+    component's id unless all ids in it are null: such a row is kept only then. Rows that
+    repeat an id are vectors of their own. Other columns aren't read. No rows give no rows.
 
     Equal vectors of a group are counted first and compared once. The centres are fitted on
     ``SAMPLE_ROWS`` vectors at most (the bound of what the driver sees) and all vectors are
@@ -133,13 +133,13 @@ def near_duplicate_vectors(
     )
     classes = space.stage(
         rows.where("takes").groupBy("hash", "grp", "vector")
-        .agg(F.min("id").alias("rep"), F.count("*").alias("copies")).withColumn("width", F.size("vector")),
+        .agg(F.min("id").cast("long").alias("least"), F.count("*").alias("copies"))
+        .withColumns({"width": F.size("vector"), "rep": F.monotonically_increasing_id()}),
         "classes",
     )
-    nodes = classes.where("rep IS NOT NULL").withColumn("rep", F.col("rep").cast("long"))
-    n = nodes.count()
+    n = classes.count()
     cells = int(min(MAX_CELLS, max(1, -(-n // cell_rows))))
-    sampled = nodes.orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE_ROWS).select("width", "vector").collect()
+    sampled = classes.orderBy("hash", "grp").limit(SAMPLE_ROWS).select("width", "vector").collect()
     centres = {
         w: fit_centres(np.array([r.vector for r in sampled if r.width == w], np.float64), cells)
         for w in {r.width for r in sampled}
@@ -148,7 +148,7 @@ def near_duplicate_vectors(
         f"vector {classes.schema['vector'].dataType.simpleString()}, cell int, guest boolean"
     )
     placed = space.stage(
-        nodes.select("rep", "copies", "grp", "width", "vector").mapInArrow(_assign(centres, cosine), schema), "cells"
+        classes.select("rep", "copies", "grp", "width", "vector").mapInArrow(_assign(centres, cosine), schema), "cells"
     )
     key = ["grp", "width", "cell"]
     sizes = space.stage(placed.groupBy(*key).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")), "sizes")
@@ -163,10 +163,15 @@ def near_duplicate_vectors(
     )
     counts = space.stage(found.groupBy("a").agg(F.sum("links").alias("links")), "counts")
     roots = components(found.select("a", "b"), space, "links")
-    named = classes.join(counts, F.col("rep") == F.col("a"), "left").join(roots, F.col("rep") == F.col("node"), "left")
+    # Classes are numbered; a component is named by the smallest id of its classes.
+    members = classes.select("rep", "least").join(roots, F.col("rep") == F.col("node"), "left").join(
+        counts, F.col("rep") == F.col("a"), "left")
+    members = space.stage(members.select("rep", "least", "links", F.coalesce("root", "rep").alias("root")), "members")
+    names = members.groupBy("root").agg(F.min("least").alias("name"))
+    named = classes.drop("least").join(members.join(names, "root").drop("root", "least"), "rep")
     named = space.stage(
         named.select("hash", "grp", "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
-                     F.coalesce("root", "rep").alias("root")),
+                     F.col("name").alias("root")),
         "named",
     )
     return rows.join(named, ["hash", "grp", "vector"], "left").select(

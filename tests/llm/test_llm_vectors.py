@@ -90,6 +90,17 @@ def test_cells(spark, cell_rows, block_rows):
             assert r.kept == (r.vec_id == r.component_id)
 
 
+def test_cells_of_null_and_repeated_ids(spark):
+    rows = [(3, [1.0, 0.0], 1), (None, [1.0, 0.05], 1), (None, [1.0, -0.05], 1), (9, [0.0, 1.0], 1), (9, [-1.0, 0.0], 1),
+            (11, [-1.0, 0.01], 1), (None, [-1.0, -1.0], 1), (None, [-1.0, -1.01], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in cells.near_duplicate_vectors(df).collect())
+    # Links through rows without id count; the two vectors of id 9 are apart.
+    assert got == sorted([
+        ("3", 2, "3", True), ("None", 2, "3", False), ("None", 2, "3", False), ("9", 0, "9", True), ("9", 1, "9", True),
+        ("11", 1, "9", False), ("None", 1, "None", True), ("None", 1, "None", True)])
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert topk.top_k(df, F.col("vec_id") % 50 == 0, 5).collect() == []
