@@ -36,7 +36,8 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     named = groups.select("_row", F.col("component_id").alias("_group")).join(numbered.select("_row", "doc_id"), "_row")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "_row"))
     kept = space.stage(named.groupBy("_group").agg(least.alias("least")).select(F.col("least._row").alias("_row")), "kept")
-    return numbered.join(kept, "_row", "left_semi").select(*docs.columns)
+    # The list grows with the documents: it is shuffled at every size, never broadcast.
+    return numbered.join(kept.hint("merge"), "_row", "left_semi").select(*docs.columns)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
