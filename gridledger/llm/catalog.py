@@ -127,6 +127,30 @@ def op6_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+ORACLES["op6_cells"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
+), u AS (
+    SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS length FROM v
+    WHERE label IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE a.length > 0 AND b.length > 0 AND list_dot_product(a.e, b.e) / (a.length * b.length) >= 0.98
+), reach AS (
+    SELECT vec_id AS node, vec_id AS root FROM v
+    UNION
+    SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.node WHERE reach.root < links.b
+), least AS (
+    SELECT node, min(root) AS root FROM reach GROUP BY node
+), degree AS (
+    SELECT a AS node, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0) AS n_links, root AS component_id, vec_id = root AS kept
+FROM v JOIN least ON least.node = vec_id LEFT JOIN degree ON degree.node = vec_id
+"""
+
+
 @_query
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices of every document."""
