@@ -37,3 +37,13 @@ def test_rows_without_a_request_code_spread_over_tasks(shuffled):
     assert out.where("TIPOLOGIA_USO = 'X'").count() == 800
     most = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert most < 300
+
+
+def test_wide_key_rows_are_not_moved_again(shuffled):
+    """The distinct runs where offers and details were joined."""
+    from gridledger.catalog.keysets import key_set
+
+    path = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    shuffled.conf.set("spark.sql.autoBroadcastJoinThreshold", "30k")  # the coefficients are few at any size
+    top = [x for x in _plan(key_set(shuffled, path)).splitlines() if "HashAggregate" in x or "Exchange hashpartitioning" in x]
+    assert ["Exchange" in x for x in top[:2]] == [False, False]
