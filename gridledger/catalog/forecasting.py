@@ -77,20 +77,25 @@ def _points(spark, sf_dir):
     return work.stage(plan.customers(plan.point_months(plan.with_regular(_base(spark, sf_dir))), S.RUN, work), "points")
 
 
-def _staged(spark, sf_dir):
-    """Classified cells and the points' month maps."""
+def _staged(spark, sf_dir, measures=(plan.VOLUME,)):
+    """Classified cells and the points' month maps, with the measures that a query reads and no identity texts."""
     work = Workspace(spark)
-    cells = work.stage(plan.month_cells(_base(spark, sf_dir), S.RUN), "month_cells")
+    cells = work.stage(plan.month_cells(_base(spark, sf_dir), S.RUN, measures, ()), "month_cells")
     points = work.stage(plan.customers(plan.point_months(cells), S.RUN, work), "points")
     return work.stage(plan.classify(cells, points), "cells"), points
 
 
-def _cells(spark, sf_dir):
-    return _staged(spark, sf_dir)[0]
+def _cells(spark, sf_dir, measures=(plan.VOLUME,)):
+    return _staged(spark, sf_dir, measures)[0]
 
 
-def _targets(cells):
-    chosen = plan.choose_sources(plan.key_months(cells), S.RUN)
+#: What choices and projections read of a key's month.
+_CHOICE = (G, KEY, "SEMPRE", DATE, "PRIMA_DATA", plan.VOLUME, "TUTTI_ID")
+
+
+def _targets(cells, months=None, more=()):
+    months = plan.key_months(cells) if months is None else months
+    chosen = plan.choose_sources(months.select(*_CHOICE, *more), S.RUN)
     return plan.project_sources(chosen, cells, S.RUN)
 
 
@@ -207,7 +212,8 @@ SELECT COMMODITY_G_E, party AS CHIAVE, CAST(DATA_DELIVERY AS VARCHAR) AS DATA_DE
 )
 def tolerance_choice(spark, sf_dir):
     """Year rank to project: not too far below the next older year."""
-    chosen = plan.choose_sources(plan.key_months(_cells(spark, sf_dir)), S.RUN).where(~F.col("SEMPRE"))
+    months = plan.key_months(_cells(spark, sf_dir)).select(*_CHOICE)
+    chosen = plan.choose_sources(months, S.RUN).where(~F.col("SEMPRE"))
     return chosen.select(G, F.col(KEY).alias("CHIAVE"), DATE, "PROIEZIONE_RANK", "PROIEZIONE_NOTE")
 
 
@@ -229,8 +235,9 @@ SELECT COMMODITY_G_E, ckey AS CHIAVE, CAST(DATA_DELIVERY AS VARCHAR) AS DATA_DEL
 )
 def mean_profile(spark, sf_dir):
     """Mean of monthly means, on calendar months without history."""
-    cells = _cells(spark, sf_dir)
-    out = plan.mean_rows(plan.key_months(cells), _targets(cells), cells, S.RUN)
+    cells = _cells(spark, sf_dir, S.MEASURES)
+    months = Workspace(spark).stage(plan.key_months(cells).drop("PIVA_CFISC_FORECAST", KIND), "months")
+    out = plan.mean_rows(months, _targets(cells, months), cells, S.RUN)
     return out.select(G, F.col(KEY).alias("CHIAVE"), DATE, *[milli(m).alias(m) for m in S.MEASURES])
 
 
@@ -280,8 +287,9 @@ def reconcile_choice(spark, sf_dir):
     """Booked against projected volume where a key has both in a month."""
     work = Workspace(spark)
     cells, points = _staged(spark, sf_dir)
-    targets = work.stage(_targets(cells), "targets")
-    means = work.stage(plan.mean_rows(plan.key_months(cells), targets, cells, S.RUN), "means")
+    months = work.stage(plan.key_months(cells), "months")
+    targets = work.stage(_targets(cells, months, ("VOLUME_DISTINTO", *plan.ORIGIN[::2])), "targets")
+    means = work.stage(plan.mean_rows(months, targets, cells, S.RUN), "means")
     means = plan.enrich_means(means, targets, cells)
     never = plan.key_gaps(points, S.RUN).where(~F.col("RIEMPIBILE"))
     targets = delete_matching(targets, never.withColumnRenamed("MESE_BUCO", "MESE_PROIETTATO"), [G, KEY, "MESE_PROIETTATO"])

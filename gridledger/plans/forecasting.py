@@ -92,32 +92,34 @@ def row_digest(schema: StructType) -> Column:
     return F.sha2(F.concat(*parts), 256)
 
 
-def month_cells(base: DataFrame, params: ForecastParams) -> DataFrame:
+def month_cells(
+    base: DataFrame,
+    params: ForecastParams,
+    measures: Sequence[str] = MEASURES,
+    texts: Sequence[str] = (*IDENTITY, "NOTE_PIVA_CFISC_FORECAST"),
+) -> DataFrame:
     """Counts, sums and identity values per cell.
 
     Projections drop rows that are copies of each other, so cells also carry the
     volume of distinct rows. Without a declared row key, rows are told apart by a
-    digest of all their columns; with one, no row has a copy.
+    digest of all their columns; with one, no row has a copy. A caller that reads
+    few ``measures`` (the volume among them) or ``texts`` names them, since cells
+    may be nearly as many as rows.
     """
     rows = with_regular(base).withColumn("MARGINE_TOTALE_EUR", _total_margin())
-    texts = [*IDENTITY, "NOTE_PIVA_CFISC_FORECAST"]
-    values = [*MEASURES, *texts, "ID_OFFERTA"]
+    values = [*measures, *texts, "ID_OFFERTA"]
     if params.row_key is None:
         rows = rows.withColumn("_row", row_digest(base.schema))
         # The values follow from the digest; as grouping columns they keep this a hash aggregate.
         rows = rows.groupBy(*CELL, "_row", *values).agg(F.count(F.lit(1)).alias("_m"))
     else:
         rows = rows.select(*CELL, F.lit(1).cast("bigint").alias("_m"), *values)
-    # Maxima of texts sort their input, so they are taken of the few rows that sums leave.
-    summed = rows.groupBy(*CELL, *texts).agg(
+    # One aggregate, so that rows are shuffled once; maxima of texts make it sort within tasks.
+    return rows.groupBy(*CELL).agg(
         F.sum("_m").alias("_n"),
         F.sum(VOLUME).alias("VOLUME_DISTINTO"),
-        *[F.sum(F.col(m) * F.col("_m")).alias(m) for m in MEASURES],
+        *[F.sum(F.col(m) * F.col("_m")).alias(m) for m in measures],
         F.bool_and(F.col("ID_OFFERTA").isNotNull()).alias("TUTTI_ID"),
-    )
-    return summed.groupBy(*CELL).agg(
-        *[F.sum(c).alias(c) for c in ("_n", "VOLUME_DISTINTO", *MEASURES)],
-        F.bool_and("TUTTI_ID").alias("TUTTI_ID"),
         *[F.max(c).alias(c) for c in texts],
     )
 
@@ -192,15 +194,23 @@ def seen_months(points: DataFrame) -> DataFrame:
     return live.groupBy(G, KEY).agg(F.bit_or(months_of_year("MESI_REGOLARI")).alias("_seen"))
 
 
+def _carried(df: DataFrame, names: Sequence[str]) -> list[str]:
+    """Those of ``names`` that the caller's cells carry."""
+    return [n for n in names if n in df.columns]
+
+
 def key_months(cells: DataFrame) -> DataFrame:
-    """Projectable history: regular rows of live customers, one row per key and date."""
+    """Projectable history: regular rows of live customers, one row per key and date.
+
+    Measures and texts are those the cells have.
+    """
     live = cells.where(F.col("REGOLARE") & ~F.col("CESSATO") & F.col(KEY).isNotNull())
     return live.groupBy(G, KEY, "SEMPRE", DATE).agg(
         F.min("PRIMA_DATA").alias("PRIMA_DATA"),
         F.sum("VOLUME_DISTINTO").alias("VOLUME_DISTINTO"),
-        *[F.sum(m).alias(m) for m in MEASURES],
+        *[F.sum(m).alias(m) for m in _carried(cells, MEASURES)],
         F.bool_and("TUTTI_ID").alias("TUTTI_ID"),
-        *[F.max(c).alias(c) for c in (*IDENTITY, *ORIGIN)],
+        *[F.max(c).alias(c) for c in _carried(cells, (*IDENTITY, *ORIGIN))],
     )
 
 
@@ -262,18 +272,21 @@ def _blocked(rows: DataFrame, key: str, date: str) -> DataFrame:
 def mean_rows(months: DataFrame, targets: DataFrame, cells: DataFrame, params: ForecastParams) -> DataFrame:
     """Rows for months of the year a projected key was never booked in.
 
-    Every measure is the mean, over months of the year, of the mean per date.
+    Every measure is the mean, over months of the year, of the mean per date. A key has at
+    most two rows a month, so its rows meet in one task and all three aggregates follow there.
     """
-    by_date = months.groupBy(G, KEY, DATE).agg(
-        F.min("PRIMA_DATA").alias("PRIMA_DATA"), *[F.sum(m).alias(m) for m in MEASURES]
+    measures = _carried(months, MEASURES)
+    own = months.select(G, KEY, DATE, "PRIMA_DATA", *measures).repartition(G, KEY)
+    by_date = own.groupBy(G, KEY, DATE).agg(
+        F.min("PRIMA_DATA").alias("PRIMA_DATA"), *[F.sum(m).alias(m) for m in measures]
     )
     by_month = by_date.groupBy(G, KEY, F.month(DATE).alias("MESE")).agg(
-        F.min("PRIMA_DATA").alias("PRIMA_DATA"), *[(F.sum(m) / F.count(F.lit(1))).alias(m) for m in MEASURES]
+        F.min("PRIMA_DATA").alias("PRIMA_DATA"), *[(F.sum(m) / F.count(F.lit(1))).alias(m) for m in measures]
     )
     profile = by_month.groupBy(G, KEY).agg(
         F.min("PRIMA_DATA").alias("PRIMA_DATA"),
         F.bit_or(F.expr("shiftleft(1L, MESE - 1)")).alias("_seen"),
-        *[F.avg(m).alias(m) for m in MEASURES],
+        *[F.avg(m).alias(m) for m in measures],
     )
     profile = keep_matching(profile, targets, [G, KEY])
     out = profile.withColumn(DATE, F.explode(month_array(params.calendar)))
@@ -294,15 +307,16 @@ def enrich_means(means: DataFrame, targets: DataFrame, cells: DataFrame) -> Data
     Point and holder fields become ND, also for point customers: a mean row has no
     kind of customer when they are filled.
     """
-    fields = (*IDENTITY, *ORIGIN)
+    identity, origin = _carried(cells, IDENTITY), _carried(cells, ORIGIN)
+    fields = (*identity, *origin)
     history = cells.where(F.col(KEY).isNotNull()).select(G, KEY, DATE, *fields)
     projected = targets.select(G, KEY, F.col("MESE_PROIETTATO").alias(DATE), *fields)
     own = means.select(G, KEY, DATE, *[F.lit(None).cast("string").alias(c) for c in fields])
     known = keep_matching(history.unionByName(projected).unionByName(own), means, [G, KEY])
     per_month = known.groupBy(G, KEY, DATE).agg(*[F.max(c).alias(c) for c in fields])
     by_key = Window.partitionBy(G, KEY)
-    filled = fill_last(per_month, IDENTITY, by_key.orderBy(F.col(DATE).desc()))
-    filled = fill_last(filled, ORIGIN, by_key.orderBy(DATE))
+    filled = fill_last(per_month, identity, by_key.orderBy(F.col(DATE).desc())) if identity else per_month
+    filled = fill_last(filled, origin, by_key.orderBy(DATE))
     nd = F.lit("ND")
     return means.join(filled, [G, KEY, DATE], "inner").withColumns(
         {

@@ -47,3 +47,27 @@ def test_wide_key_rows_are_not_moved_again(shuffled):
     shuffled.conf.set("spark.sql.autoBroadcastJoinThreshold", "30k")  # the coefficients are few at any size
     top = [x for x in _plan(key_set(shuffled, path)).splitlines() if "HashAggregate" in x or "Exchange hashpartitioning" in x]
     assert ["Exchange" in x for x in top[:2]] == [False, False]
+
+
+def test_lines_are_shuffled_once_to_their_order_and_party(shuffled):
+    from gridledger.catalog.registry import load
+
+    path = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    shuffled.conf.set("spark.sql.shuffle.partitions", "8")
+    plan = _plan(load(shuffled, path, "published").select("ID_DETTAGLIO", "P_IVA_OFFERTABILE"))
+    moved = [x for x in plan.splitlines() if "Exchange hashpartitioning(o_custkey" in x]
+    assert len(moved) == 1
+    under = plan[plan.index(moved[0]) :]
+    assert "orders" in under and "lineitem" not in under
+
+
+def test_cells_carry_what_a_query_reads(shuffled):
+    import gridledger.plans.forecasting as plan
+    from gridledger.catalog import forecast_sql as S
+    from gridledger.catalog.registry import load
+
+    base = plan.base_rows(load(shuffled, os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"), "published"), S.RUN)
+    few = plan.month_cells(base, S.RUN, (plan.VOLUME,), ())
+    assert set(few.columns) == {*plan.CELL, "_n", "VOLUME_DISTINTO", plan.VOLUME, "TUTTI_ID"}
+    both = plan.month_cells(base, S.RUN).select(*few.columns)
+    assert few.exceptAll(both).count() == both.exceptAll(few).count() == 0
