@@ -219,16 +219,22 @@ for _i, _b in enumerate(BANDS):
 _NULL_OF = {"double": "DOUBLE", "string": "STRING", "timestamp": "TIMESTAMP", "date": "DATE", "bigint": "BIGINT"}
 
 
+#: The joins of ``_wide``, and with all that belongs to an offer joined before its lines.
+_OFFER = "(SELECT ID_OFFERTA AS offer_id, COD_OFFERTA, COD_TIPO_CONTRATTO FROM {offers}) o"
+_WIDE_JOINS = (
+    f" FROM {{rows}} JOIN {_OFFER} ON offer_id = l_orderkey JOIN {{orders}} ON o_orderkey = l_orderkey"
+    " LEFT JOIN {offer_partner} ON partner_of = o_custkey",
+    f" FROM {{rows}} JOIN ({_OFFER} JOIN {{orders}} ON o_orderkey = offer_id"
+    " LEFT JOIN {offer_partner} ON partner_of = o_custkey) ON offer_id = l_orderkey",
+)
+
+
 def _wide(filled: dict[str, str]) -> str:
     columns = (f"{filled.get(f.name, f'CAST(NULL AS {_NULL_OF[f.dataType.simpleString()]})')} AS {f.name}" for f in MASTER_SCHEMA.fields)
-    return (
-        "SELECT " + ", ".join(columns)
-        + " FROM {rows} JOIN (SELECT ID_OFFERTA AS offer_id, COD_OFFERTA, COD_TIPO_CONTRATTO FROM {offers}) o ON offer_id = l_orderkey JOIN {orders} ON o_orderkey = l_orderkey"
-        + " LEFT JOIN {offer_partner} ON partner_of = o_custkey"
-    )
+    return "SELECT " + ", ".join(columns) + _WIDE_JOINS[0]
 
 
-view("wide_rows", _wide(_FILLED))
+view("wide_rows", _wide(_FILLED), *_WIDE_JOINS)
 
 # Rows with special prices: some have no band volumes but peak volumes, some have neither.
 _SPECIAL = {
@@ -240,7 +246,7 @@ for _i, _b in enumerate(BANDS):
     _SPECIAL[unit("SPREAD_ACQ", _b)] = f"CASE WHEN disc = 0.0{_i + 1} THEN NULL ELSE q + {_i * 3} END"
     _SPECIAL[unit("COSTO_PROFILAZIONE", _b)] = f"CASE WHEN disc > 0.05 THEN q * {_i} END"
     _SPECIAL[unit("SCONTO", _b)] = f"CASE WHEN disc > 0.07 THEN 0 - q * {_i} END"
-view("special_rows", _wide(_FILLED | _SPECIAL))
+view("special_rows", _wide(_FILLED | _SPECIAL), *_WIDE_JOINS)
 
 view(
     "bulk_import",

@@ -71,3 +71,12 @@ def test_cells_carry_what_a_query_reads(shuffled):
     assert set(few.columns) == {*plan.CELL, "_n", "VOLUME_DISTINTO", plan.VOLUME, "TUTTI_ID"}
     both = plan.month_cells(base, S.RUN).select(*few.columns)
     assert few.exceptAll(both).count() == both.exceptAll(few).count() == 0
+
+
+def test_wide_lines_join_what_their_offer_has_found(shuffled):
+    from gridledger.catalog.registry import load
+
+    path = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    plan = _plan(load(shuffled, path, "wide_rows").select("ID_DETTAGLIO", "CONTRATTO_OLD"))
+    moved = [x for x in plan.splitlines() if "Exchange hashpartitioning(o_custkey" in x]
+    assert moved and "l_linenumber" not in plan[plan.index(moved[0]) :].split("Exchange hashpartitioning(l_orderkey")[0]
