@@ -80,3 +80,18 @@ def test_wide_lines_join_what_their_offer_has_found(shuffled):
     plan = _plan(load(shuffled, path, "wide_rows").select("ID_DETTAGLIO", "CONTRATTO_OLD"))
     moved = [x for x in plan.splitlines() if "Exchange hashpartitioning(o_custkey" in x]
     assert moved and "l_linenumber" not in plan[plan.index(moved[0]) :].split("Exchange hashpartitioning(l_orderkey")[0]
+
+
+def test_a_first_publication_is_written_once(shuffled, tmp_path):
+    from gridledger.sources import publish
+
+    work = Workspace(shuffled)
+    rows = shuffled.createDataFrame([(1, dt.date(2001, 1, 1)), (2, dt.date(2001, 2, 1)), (2, None)], "v long, DATA_DELIVERY date")
+    path = str(tmp_path / "t")
+    done = publish(rows, path, totals={"n": F.count(F.lit(1))}, work=work)
+    assert done == {"n": 3, "months": [dt.date(2001, 1, 1), dt.date(2001, 2, 1), None]}
+    assert os.listdir(work.path) == []
+    assert sorted(map(str, shuffled.read.parquet(path).select("v", "DATA_DELIVERY").collect())) == sorted(map(str, rows.collect()))
+    # The same rows again leave every month as it is, copies counted.
+    assert publish(rows, path, work=work)["months"] == []
+    assert publish(rows.union(rows.where("v = 1")), path, work=work)["months"] == [dt.date(2001, 1, 1)]
