@@ -95,3 +95,23 @@ def test_a_first_publication_is_written_once(shuffled, tmp_path):
     # The same rows again leave every month as it is, copies counted.
     assert publish(rows, path, work=work)["months"] == []
     assert publish(rows.union(rows.where("v = 1")), path, work=work)["months"] == [dt.date(2001, 1, 1)]
+
+
+def test_only_changing_rows_meet_the_sums_of_former_offers(shuffled):
+    from gridledger.plans.margins import net_predecessors
+    from gridledger.tables import MASTER_SCHEMA
+
+    names = {"ID_OFFERTA": "o", "ID_DETTAGLIO": "d", "COD_OFFERTA": "N", "CONTRATTO_OLD": "A", "PDP": "p", "INDICE": "i"}
+    rows = [(f"{i}", f"d{i}", "A" if i else "N", None if i else "A", "p", "i", 7 if i else 1) for i in range(4)]
+    given = shuffled.createDataFrame(rows, ", ".join(f"{n} string" for n in names) + ", TIPO_CONTRATTO bigint")
+    wide = given.select(*[
+        F.col(f.name) if f.name in given.columns else F.lit(dt.date(2001, 1, 1)).alias(f.name) if f.name == "DATA_DELIVERY"
+        else F.lit(2.0).alias(f.name) if f.dataType.simpleString() == "double" else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in MASTER_SCHEMA.fields])
+    kinds = shuffled.createDataFrame([(1, "CP001"), (7, "x")], "ID_TIPO_CONTRATTO bigint, DESC_TIPO_CONTRATTO string")
+    wide = Workspace(shuffled).stage(wide, "wide")
+    out = net_predecessors(wide, kinds, "CP001")
+    assert "Union" in _plan(out)
+    got = {r.ID_OFFERTA: r for r in out.collect()}
+    assert len(got) == 4 and out.columns == wide.columns
+    assert got["0"].CCR_EUR == 2.0 - 3 * 2.0 and all(got[str(i)].CCR_EUR == 2.0 for i in (1, 2, 3))
