@@ -86,13 +86,18 @@ WHERE rank <= 5
 """
 
 
+def _equal(k: int):
+    return lambda c: c == k
+
+
 @_query
 def op3_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document: counts and digest of fixed shapes, and all spans."""
     found = personal.find_personal_data(_table(spark, sf_dir, "documents"))
+    # A second parameter of a filter's function, even one with a default, would be the element's place.
+    kinds = F.transform("base", lambda s: s["kind"])
     counts = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{kind}")
-        for k, kind in enumerate(personal.KINDS)
+        F.size(F.filter(kinds, _equal(k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(personal.KINDS)
     ]
     return found.select(
         "doc_id", *counts, F.sha2(personal.named(F.col("base")), 256).alias("base_sha256"),

@@ -117,3 +117,14 @@ def got_phone(text):
 
 def test_empty(spark):
     assert personal.find_personal_data(messy.empty(spark)).collect() == []
+
+
+def test_query_counts_by_kind(spark, tmp_path):
+    from gridledger.llm.catalog import QUERIES
+
+    texts = ["a@b.co a@b.de 1.2.3.4", "1.2.3.4 5.6.7.8 9.10.11.12", "4111111111111111 a@b.co +1 23 456 7890", "none", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    for r in QUERIES["op3_personal"](spark, str(tmp_path)).collect():
+        spans = plain(texts[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == i for _, k, _ in spans) for i in range(4)]
+        assert r.base_sha256 == hashlib.sha256(named(spans).encode()).hexdigest()
