@@ -36,6 +36,7 @@ from gridledger.operators.updates import (
     matched,
     merge_update,
     overlay,
+    unpack,
     update_where,
 )
 from gridledger.operators.windows import (
@@ -52,5 +53,6 @@ __all__ = [
     "diff_tables", "exact_or_wildcard", "expand_between", "fill_last", "filter_pairs", "first_month", "gap_months",
     "intersect_distinct", "interval_index", "keep_extreme", "keep_matching", "last_month", "lookup", "map_gaps", "matched", "merge_update", "month_date",
     "month_maps", "months_of_year", "overlay",
-    "project_on_calendar", "qualify", "range_lookup", "spread_join", "top1", "union_distinct", "update_where",
+    "project_on_calendar", "qualify", "range_lookup", "spread_join", "top1", "union_distinct", "unpack",
+    "update_where",
 ]

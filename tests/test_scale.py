@@ -119,3 +119,38 @@ def test_only_changing_rows_meet_the_sums_of_former_offers(shuffled):
     got = {r.ID_OFFERTA: r for r in out.collect()}
     assert len(got) == 4 and out.columns == wide.columns
     assert got["0"].CCR_EUR == 2.0 - 3 * 2.0 and all(got[str(i)].CCR_EUR == 2.0 for i in (1, 2, 3))
+
+
+def _joins(node):
+    found = [node] if node.nodeName() == "Join" else []
+    children = node.children()
+    return found + [j for i in range(children.size()) for j in _joins(children.apply(i))]
+
+
+def test_joins_of_the_margin_table_carry_few_columns(shuffled):
+    from gridledger.params import MasterParams
+    from gridledger.plans.margins import attach_sources
+    from gridledger.tables import KEYS_SCHEMA, UNIT_COLUMNS
+
+    keys = shuffled.createDataFrame([], KEYS_SCHEMA)
+    wide = shuffled.range(0).selectExpr("CAST(id AS STRING) AS ID_DETTAGLIO", *[f"1D AS {c}" for c in UNIT_COLUMNS])
+    t = {"unit_costs": wide, "prices": wide.withColumn("p", F.lit("x")), "fixing": wide.withColumn("f", F.lit("y"))}
+    df = attach_sources(keys, t, MasterParams(as_of=dt.date(2026, 12, 3)))
+    read = df.selectExpr("*", *[f"{n}.{UNIT_COLUMNS[0]} AS _{n}" for n in t]).drop(*t)
+    joins = _joins(read._jdf.queryExecution().optimizedPlan())
+    assert len(joins) == 3 and max(j.output().size() for j in joins) < 20
+
+
+def test_packed_sources_unpack_to_the_same_columns(spark):
+    from gridledger.operators import attach, matched, unpack
+
+    target = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    source = spark.createDataFrame([("a", 1), (None, 2)], "k string, v int")
+    packed = attach(target, source, ["k"], "s", packed=True)
+    assert packed.columns == ["k", "s"]
+    both = [unpack(packed, "s", "t"), attach(target, source, ["k"], "s", split=True)]
+    got = [{(r.k, r.s__v, r.m) for r in df.withColumn("m", matched("s")).collect()} for df in both]
+    assert got[0] == got[1] == {("a", 1, True), ("b", None, False), (None, None, False)}
+    twice = source.union(source)
+    with pytest.raises(Exception, match="several rows"):
+        unpack(attach(target, twice, ["k"], "s", packed=True), "s").where(matched("s")).collect()
