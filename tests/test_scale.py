@@ -154,3 +154,15 @@ def test_packed_sources_unpack_to_the_same_columns(spark):
     twice = source.union(source)
     with pytest.raises(Exception, match="several rows"):
         unpack(attach(target, twice, ["k"], "s", packed=True), "s").where(matched("s")).collect()
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
+    from gridledger.session import Workspace
+
+    sizes = []
+    tracker = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    for _ in range(2):
+        before = tracker.shuffleStatuses().size()
+        Workspace(spark).stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "t")
+        sizes.append(tracker.shuffleStatuses().size() - before)
+    assert max(sizes) <= 0
