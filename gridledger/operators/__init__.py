@@ -2,6 +2,7 @@ from gridledger.operators.checks import assert_unique, control_total, diff_table
 from gridledger.operators.intervals import attach_range, interval_index, range_lookup
 from gridledger.operators.joins import (
     anti_join,
+    attach_either,
     cascade_lookup,
     exact_or_wildcard,
     filter_pairs,
@@ -48,7 +49,7 @@ from gridledger.operators.windows import (
 )
 
 __all__ = [
-    "anti_join", "append_common", "append_mapped", "assert_unique", "assign", "attach", "attach_all", "attach_range",
+    "anti_join", "append_common", "append_mapped", "assert_unique", "assign", "attach", "attach_all", "attach_either", "attach_range",
     "calendar_frame", "cascade_lookup", "control_total", "count_distinct_over", "delete_matching", "detach",
     "diff_tables", "exact_or_wildcard", "expand_between", "fill_last", "filter_pairs", "first_month", "gap_months",
     "intersect_distinct", "interval_index", "keep_extreme", "keep_matching", "last_month", "lookup", "map_gaps", "matched", "merge_update", "month_date",

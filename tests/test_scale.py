@@ -141,6 +141,29 @@ def test_joins_of_the_margin_table_carry_few_columns(shuffled):
     assert len(joins) == 3 and max(j.output().size() for j in joins) < 20
 
 
+def test_an_import_is_joined_before_rows_are_wide(shuffled):
+    from gridledger.params import MasterParams
+    from gridledger.plans import master
+    from gridledger.tables import KEYS_SCHEMA
+
+    base = dict.fromkeys(KEYS_SCHEMA.names) | {"COD_OFFERTA": "O1", "DATA_DELIVERY": dt.date(2001, 1, 1), "FLG_PUBBLICATO_S_N": "S"}
+    stamp = dt.datetime(2001, 2, 1)
+    given = [base | {"ID_OFFERTA": "1", "ID_DETTAGLIO": d, "DATA_COPERTURA": t} for d, t in (("a", None), ("b", stamp), ("c", None))]
+    keys = shuffled.createDataFrame([tuple(r[n] for n in KEYS_SCHEMA.names) for r in given], KEYS_SCHEMA)
+    bulk = shuffled.createDataFrame(
+        [("1", "a", "O2", None, stamp, "s"), (None, None, "O1", dt.date(2001, 1, 1), stamp, "t")],
+        "ID_OFFERTA string, ID_DETTAGLIO string, COD_OFFERTA string, DATA_DELIVERY date, DATA_COPERTURA timestamp, VENDITORE string")
+    flags = shuffled.createDataFrame(
+        [("O2", stamp, "N", None), ("O1", stamp, "X", None)],
+        "COD_OFFERTA string, DATA_COPERTURA timestamp, FLG_PUBBLICATO_S_N string, DATA_PUBBLICAZIONE_FUTURA date")
+    out = master(keys, {"bulk_import": bulk, "published_flags": flags}, MasterParams(as_of=dt.date(2026, 12, 3)))
+    # Only reversals and their parents meet after the table was written.
+    wide = [j for j in _joins(out._jdf.queryExecution().optimizedPlan()) if j.output().size() > 100]
+    assert len(wide) == 1
+    got = {r.ID_DETTAGLIO: (r.COD_OFFERTA, r.VENDITORE, r.FLG_PUBBLICATO_S_N) for r in out.collect()}
+    assert got == {"a": ("O2", "s", "N"), "b": ("O1", "t", "X"), "c": ("O1", None, "S")}
+
+
 def test_packed_sources_unpack_to_the_same_columns(spark):
     from gridledger.operators import attach, matched, unpack
 
