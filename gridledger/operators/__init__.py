@@ -1,4 +1,4 @@
-from gridledger.operators.checks import assert_unique, control_total, diff_tables
+from gridledger.operators.checks import assert_unique, control_total, diff_tables, row_digests
 from gridledger.operators.intervals import attach_range, interval_index, range_lookup
 from gridledger.operators.joins import (
     anti_join,
@@ -54,6 +54,6 @@ __all__ = [
     "diff_tables", "exact_or_wildcard", "expand_between", "fill_last", "filter_pairs", "first_month", "gap_months",
     "intersect_distinct", "interval_index", "keep_extreme", "keep_matching", "last_month", "lookup", "map_gaps", "matched", "merge_update", "month_date",
     "month_maps", "months_of_year", "overlay",
-    "project_on_calendar", "qualify", "range_lookup", "spread_join", "top1", "union_distinct", "unpack",
+    "project_on_calendar", "qualify", "range_lookup", "row_digests", "spread_join", "top1", "union_distinct", "unpack",
     "update_where",
 ]

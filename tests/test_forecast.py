@@ -111,6 +111,16 @@ def test_copies_stay_booked_and_project_once(spark):
     assert by_note == {P.NOTE_BOOKED: 2, P.NOTE_PROJECTED: 1}
 
 
+def test_only_cells_with_copies_are_searched_for_them(spark):
+    df = published(spark, [("V", None, 2026, 11, 5), ("V", None, 2026, 10, 5), ("V", None, 2026, 10, 5)])
+    df = df.union(df.where("ID_DETTAGLIO = '0'"))
+    params = ForecastParams(as_of=AS_OF)
+    cells = plan.month_cells(plan.base_rows(df, params), params).collect()
+    assert {r.DATA_DELIVERY.month: (r._n, r._copies) for r in cells} == {11: (2, True), 10: (2, False)}
+    out = forecast(df, params).where("PROIEZIONE_NOTE IS NOT NULL AND year(DATA_DELIVERY) = 2027 AND month(DATA_DELIVERY) IN (10, 11)")
+    assert sorted((r.DATA_DELIVERY.month, r.ID_DETTAGLIO) for r in out.collect()) == [(10, "1"), (10, "2"), (11, "0")]
+
+
 def test_row_key_path_gives_the_same_rows(spark):
     cases = [(p, q, y, m, y % 7 + m) for p, q in (("V", None), ("W", "IT1"), ("X", "IT2"), ("X", None)) for y in (2025, 2026, 2027) for m in range(1, 12, 2)]
     a = run(spark, cases)

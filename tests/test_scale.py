@@ -77,6 +77,21 @@ def test_cells_carry_what_a_query_reads(shuffled):
     assert few.exceptAll(both).count() == both.exceptAll(few).count() == 0
 
 
+def test_rows_without_a_key_are_told_apart_by_two_numbers(shuffled):
+    from gridledger.operators import row_digests
+
+    import gridledger.plans.forecasting as plan
+    from gridledger.catalog import forecast_sql as S
+    from gridledger.catalog.registry import load
+
+    base = plan.base_rows(load(shuffled, os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"), "published_twice"), S.RUN_NO_KEY)
+    assert "sha2" not in _plan(plan.month_cells(base, S.RUN_NO_KEY))
+    rows = [("x", None, 0.0), ("x", None, -0.0), (None, "x", 0.0), ("", "x", 0.0), ("x", None, None)]
+    df = shuffled.createDataFrame(rows, "a string, b string, v double")
+    got = [tuple(r) for r in df.select(*row_digests(df.columns)).collect()]
+    assert got[0] == got[1] and len(set(got)) == 4 and all(isinstance(h, int) for g in got for h in g)
+
+
 def test_wide_lines_join_what_their_offer_has_found(shuffled):
     from gridledger.catalog.registry import load
 
