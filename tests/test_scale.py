@@ -204,3 +204,15 @@ def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
         Workspace(spark).stage(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "t")
         sizes.append(tracker.shuffleStatuses().size() - before)
     assert max(sizes) <= 0
+
+
+def test_lookups_of_the_key_set_are_written_before_wide_rows_are_formed(shuffled):
+    """Their shuffle files are gone then: the last step moves offers and details once."""
+    from gridledger.catalog.keysets import key_set
+
+    work = Workspace(shuffled)
+    shuffled.conf.set("spark.sql.autoBroadcastJoinThreshold", "30k")
+    out = key_set(shuffled, os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"), work=work)
+    assert sorted(os.listdir(work.path)) == ["coefficients", "found_offers", "priced_details"]
+    moved = [x for x in _plan(out).splitlines() if "Exchange hashpartitioning" in x]
+    assert len(moved) == 3 and sum("TENSIONE" in x.split("hashpartitioning")[1][:20] for x in moved) == 1
