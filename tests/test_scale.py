@@ -216,3 +216,34 @@ def test_lookups_of_the_key_set_are_written_before_wide_rows_are_formed(shuffled
     assert sorted(os.listdir(work.path)) == ["coefficients", "found_offers", "priced_details"]
     moved = [x for x in _plan(out).splitlines() if "Exchange hashpartitioning" in x]
     assert len(moved) == 3 and sum("TENSIONE" in x.split("hashpartitioning")[1][:20] for x in moved) == 1
+
+
+def test_related_parties_are_found_before_rows_are_wide(shuffled):
+    """After the table was written, only reversals are moved to meet parties, since they may take their parent's vat number."""
+    from gridledger.params import MasterParams, RelatedPartyRules
+    from gridledger.plans import master
+    from gridledger.plans.margins import attach_sources
+    from gridledger.tables import KEYS_SCHEMA
+
+    base = dict.fromkeys(KEYS_SCHEMA.names) | {"DATA_DELIVERY": dt.date(2001, 1, 1), "FLG_PUBBLICATO_S_N": "S", "COMMODITY_G_E": "G"}
+    given = [("1", "a", "O1", "P1", None), ("1", "b", "O1", "P2", None), ("2", "c", "S-1", None, "O1"), ("3", "d", "S-2", None, "O2"), ("4", "e", "O2", "ND", None)]
+    rows = [base | dict(zip(("ID_OFFERTA", "ID_DETTAGLIO", "COD_OFFERTA", "PDP", "OFFERTA_STORNO_FIXING"), r)) for r in given]
+    keys = shuffled.createDataFrame([tuple(r[n] for n in KEYS_SCHEMA.names) for r in rows], KEYS_SCHEMA)
+    customers = shuffled.createDataFrame(
+        [("O1", "P1", None, "x"), ("O1", "NO_PDP", "V1", None), ("S-2", "NO_PDP", "V2", None), ("O2", "NO_PDP", "V1", None)],
+        "COD_OFFERTA string, PDP string, P_IVA_OFFERTABILE string, COD_ATECO_OFFERTABILE string")
+    kinds = shuffled.createDataFrame([("k", "Reseller")], "PK_TIPI_SOGGETTI string, TIPO_SOGGETTO_DESCR string")
+    parties = shuffled.createDataFrame(
+        [("V1", "one", "k", None), ("V2", "two", "k", None)],
+        "PARTITA_IVA string, RAGIONE_SOCIALE string, FK_TIPI_SOGGETTI string, EXPIRY_TS timestamp")
+    rules = RelatedPartyRules(group_vats=("V9",), group_area="g", intercompany_seller="s", intercompany_manager="m", reseller_manager="r")
+    t, run = {"customers": customers, "party_types": kinds, "parties": parties}, MasterParams(as_of=dt.date(2026, 12, 3), related=rules)
+    out = master(keys, t, run)
+    wide = [j.toString() for j in _joins(out._jdf.queryExecution().optimizedPlan()) if j.output().size() > 100]
+    assert len(wide) == 2 and not any("Union" in j for j in wide)
+    got = {r.ID_DETTAGLIO: (r.P_IVA_OFFERTABILE, r.CLIENTE) for r in out.collect()}
+    assert got == {"a": ("V1", "one"), "b": ("V1", "one"), "c": ("V1", "one"), "d": ("V2", "two"), "e": ("V1", "one")}
+    # Files of earlier joins are gone once the rows they formed are written.
+    work = Workspace(shuffled)
+    attach_sources(keys, t, run, work)
+    assert os.listdir(work.path) == ["customers"]
