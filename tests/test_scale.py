@@ -247,3 +247,36 @@ def test_related_parties_are_found_before_rows_are_wide(shuffled):
     work = Workspace(shuffled)
     attach_sources(keys, t, run, work)
     assert os.listdir(work.path) == ["customers"]
+
+
+def test_the_last_booked_month_comes_with_the_points(shuffled):
+    """Cells know the last month of their key, so they aren't grouped and joined for it."""
+    import gridledger.plans.forecasting as plan
+    from gridledger.params import ForecastParams
+    from gridledger.tables import SELLER_COLUMNS
+
+    run = ForecastParams(as_of=dt.date(2001, 1, 15))
+    days = [("A", "IT1", dt.date(2001, 1, 1)), ("A", "IT1", dt.date(2001, 3, 1)), ("B", "IT1", dt.date(2001, 2, 1)), ("C", "IT2", dt.date(1995, 1, 1))]
+    rows = shuffled.createDataFrame([("G", *d, "O1", 2.0) for d in days], f"{plan.G} string, {plan.PARTY} string, PDP string, {plan.DATE} date, COD_OFFERTA string, {plan.VOLUME} double")
+    base = rows.select("*", *[F.lit("s").alias(c) for c in SELLER_COLUMNS])
+    booked = plan.with_regular(rows)
+    points = plan.customers(plan.point_months(booked), run, Workspace(shuffled))
+    last = {r[plan.PARTY]: r.ULTIMA_DATA for r in points.collect()}
+    assert last == {"A": dt.date(2001, 3, 1), "B": dt.date(2001, 3, 1), "C": None}
+    cells = Workspace(shuffled).stage(plan.classify(booked.select(*plan.CELL, F.lit(1).cast("bigint").alias("_n")), points), "cells")
+    out = plan.last_booked_rows(base, cells)
+    assert len(_joins(out._jdf.queryExecution().optimizedPlan())) == 2
+    assert [(r[plan.KEY], r[plan.VOLUME]) for r in out.collect()] == [("IT1", 2.0)]
+
+
+def test_mean_rows_meet_their_own_months_only(shuffled):
+    import gridledger.plans.forecasting as plan
+
+    text = [*plan.IDENTITY, *plan.ORIGIN]
+    known = [("G", "k", dt.date(2001, m, 1), *[f"{m}"] * 6) for m in (1, 3)]
+    cells = shuffled.createDataFrame(known, f"{plan.G} string, {plan.KEY} string, {plan.DATE} date, " + ", ".join(f"{c} string" for c in text))
+    means = shuffled.createDataFrame([("G", "k", dt.date(2001, 2, 1))], f"{plan.G} string, {plan.KEY} string, {plan.DATE} date")
+    out = plan.enrich_means(means, cells.withColumnRenamed(plan.DATE, "MESE_PROIETTATO").where("false"), cells)
+    assert "_own" not in out.columns and [tuple(r[c] for c in text) for r in out.collect()] == [("3", "3", "3", "1", "1", "1")]
+    top = _joins(out._jdf.queryExecution().optimizedPlan())[0].toString()
+    assert any("Filter" in x and "_own" in x for x in top.splitlines())
